@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["ingest", "cleaning", "checks", "loading"]
+SECTIONS = ["ingest", "cleaning", "checks", "loading", "rankings", "samples", "preparation"]
 
 
 

@@ -52,6 +52,8 @@ def append_table(df: DataFrame, name: str, disposition: str = WRITE_APPEND, sche
         if disposition == WRITE_TRUNCATE:
             df.write.insertInto(name, overwrite=True)
             return
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)  # few files per partition; a large partition is split
     writer = df.write.mode(modes[disposition]).format("parquet")
     if location and not exists:
         writer = writer.option("path", location)
