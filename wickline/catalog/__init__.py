@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["ingest", "cleaning", "checks", "loading", "rankings", "samples", "preparation"]
+SECTIONS = ["ingest", "cleaning", "checks", "loading", "rankings", "samples", "preparation", "training",
+            "evaluation", "deployment", "watching", "streams"]
 
 
 

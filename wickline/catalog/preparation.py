@@ -9,6 +9,7 @@ from wickline import schemas
 from wickline.catalog import derived as d
 from wickline.operators import features, neighbours, resampling
 from wickline.catalog.samples import split_sql
+from wickline.session import settled
 
 NEAR = ["open", "high", "low", "volume"]
 GAP = "taker_buy_base_asset_volume"
@@ -20,17 +21,18 @@ def gapped(spark, sf):
 
 
 def parted_klines(spark, sf):
-    return resampling.stratified_split(d.keyed_klines(spark, sf), "key", "price_increase")
+    """Split candles. The candles are written once: the split reads its input several times."""
+    return resampling.stratified_split(settled(d.keyed_klines(spark, sf), "klines"), "key", "price_increase")
 
 
 def q_knn_impute(spark, sf):
-    df = gapped(spark, sf)
+    df = settled(gapped(spark, sf), "klines")
     filled = neighbours.knn_impute(df, df, "id", [*NEAR, GAP], GAP, "open", 5)
     return d.rounded(filled.select("id", GAP))
 
 
 def q_knn_classify(spark, sf):
-    df = d.numbered_klines(spark, sf)
+    df = settled(d.numbered_klines(spark, sf), "klines")
     late = df.where(F.col("open_time") >= d.SECOND_LOAD_MS)
     early = df.where(F.col("open_time") < d.SECOND_LOAD_MS)
     return neighbours.knn_classify(late, early, "id", [*NEAR, "number_of_trades"], "price_increase", "open", 8)

@@ -67,7 +67,8 @@ def q_cv_table(spark, sf):
 
 def q_cv_summary(spark, sf):
     hit = F.avg((F.col("y") == F.col("y_pred")).cast("double"))
-    return d.rounded(ranking.cv_summary(fold_scores(spark, sf), hit))
+    summary = d.rounded(ranking.cv_summary(fold_scores(spark, sf), hit))
+    return summary.withColumn("fold", F.coalesce(F.col("fold").cast("string"), F.lit("all")))
 
 
 def q_concat_by_model(spark, sf):
@@ -122,8 +123,8 @@ from grid""",
     "cv_table": f"""{_FOLDS} select model, """ + ", ".join(
         f"round(max(score) filter (fold = {k}),6) as fold_{k}" for k in range(1, 6)) + """,
   round(avg(score),6) as mean_cv, round(stddev_samp(score),6) as std_cv from sc group by 1""",
-    "cv_summary": f"""{_FOLDS} select model, fold, round(score,6) as score from sc
-union all select model, null, round(avg((y = y_pred)::int),6) from f group by 1""",
+    "cv_summary": f"""{_FOLDS} select model, fold::varchar as fold, round(score,6) as score from sc
+union all select model, 'all', round(avg((y = y_pred)::int),6) from f group by 1""",
     "concat_by_model": f"""{_S}, f as (select m.model, y, (p >= m.cut)::int as y_pred
   from scored, (values ('low', 0.2e0), ('top', 0.7e0)) m(model, cut)),
 c as (select model, y, avg((y = y_pred)::int) as r, count(*) as n, sum((y = y_pred)::int) as h from f group by 1, 2)

@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def normal_two_sided(z: float) -> float:
@@ -29,11 +30,11 @@ def student_two_sided(t: float, df: int) -> float:
     return 1.0 - inside
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if v is None or math.isnan(v) else normal_two_sided(v))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if v is None or math.isnan(v) else student_two_sided(v, int(n)) for v, n in zip(t, df)])

@@ -23,7 +23,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline import schemas
@@ -48,10 +48,10 @@ def kept(df: DataFrame):
         held.unpersist()
 
 
-def side_by_side(jobs: Sequence[Callable], parallelism: int) -> list:
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int) -> list:
     """Run independent Spark jobs a few at a time; the work itself stays on the executors."""
     with ThreadPool(max(1, min(parallelism, len(jobs) or 1))) as pool:
-        return pool.map(lambda job: inheritable_thread_target(job)(), jobs)
+        return pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs)
 
 
 def linear_estimator(alpha: float = ALPHA, iterations: int = ITERATIONS, features: str = "features",
@@ -75,14 +75,14 @@ def scored(model: Model, df: DataFrame, label: str | None = schemas.TARGET, keys
 
 
 def train_linear(train: DataFrame, val: DataFrame | None = None, alpha: float = ALPHA, iterations: int = ITERATIONS,
-                 epochs: int = EPOCHS, label: str = schemas.TARGET, parallelism: int = 2):
+                 epochs: int = EPOCHS, label: str = schemas.TARGET, parallelism: int = 4):
     """Fit on a preprocessed frame; returns the last model and metric rows per epoch.
 
     Epoch e has had (e + 1) x iterations passes. Both frames are measured in one job over all epochs.
     """
     val = train if val is None else val
     with kept(train) as frame:
-        models = side_by_side([
+        models = side_by_side(train.sparkSession, [
             lambda e=e: linear_estimator(alpha, iterations * (e + 1), label=label).fit(frame) for e in range(epochs)],
             parallelism)
     sets = [scored(m, d, label).withColumns({"step": F.lit(e), "part": F.lit(name)})
@@ -140,9 +140,9 @@ def train_on_fold(df: DataFrame, fold: int, models: dict[str, Estimator], label:
 
 def oof_predictions(df: DataFrame, folds: Sequence[int], models: dict[str, Estimator], label: str = schemas.TARGET,
                     keys: Sequence[str] = tuple(schemas.KEY), numeric: Sequence[str] = tuple(schemas.FEATURES),
-                    categorical: Sequence[str] = (), parallelism: int = 2) -> DataFrame:
+                    categorical: Sequence[str] = (), parallelism: int = 4) -> DataFrame:
     """Every row predicted by models that have not seen its fold."""
-    parts = side_by_side([lambda k=k: train_on_fold(df, k, models, label, keys, numeric, categorical)
+    parts = side_by_side(df.sparkSession, [lambda k=k: train_on_fold(df, k, models, label, keys, numeric, categorical)
                           for k in folds], parallelism)
     return reduce(DataFrame.unionByName, parts)
 
@@ -171,7 +171,7 @@ def sample_trials(studies: DataFrame, study: str, n_trials: int = TRIALS, space:
 
 
 def tune(train: DataFrame, val: DataFrame, n_trials: int = TRIALS, monitor: str = "accuracy", seed: int = SEED,
-         label: str = schemas.TARGET, study: str = "linear", parallelism: int = 3):
+         label: str = schemas.TARGET, study: str = "linear", parallelism: int = 4):
     """Random search over the trial space on a fixed validation part.
 
     Returns the trials table (number, parameters as a map, the nine metrics, best first by loss) and the
@@ -183,7 +183,7 @@ def tune(train: DataFrame, val: DataFrame, n_trials: int = TRIALS, monitor: str
     base = linear_estimator(label=label, iterations=ITERATIONS * EPOCHS)
     with kept(train) as frame:
         models = side_by_side(
-            [lambda t=t: base.copy({base.regParam: t["alpha"]}).fit(frame) for t in trials], parallelism)
+            spark, [lambda t=t: base.copy({base.regParam: t["alpha"]}).fit(frame) for t in trials], parallelism)
     parts = [scored(m, val, label).withColumn("trial", F.lit(t["trial"])) for t, m in zip(trials, models)]
     measured = overall_metrics(reduce(DataFrame.unionByName, parts), ["trial"], "val")
     params = spark.createDataFrame([(t["trial"], {"alpha": t["alpha"], "power_t": t["power_t"]}) for t in trials],
@@ -257,7 +257,7 @@ def bias_variance_fit(train: DataFrame, test: DataFrame, key: str, rounds: int =
     """(round, test_id, pred): each round fits bootstrap weights of the training rows, then predicts the test rows."""
     est = estimator or linear_estimator(label=label)
     with kept(train.select(key, "features", label)) as frame:
-        models = side_by_side([
+        models = side_by_side(train.sparkSession, [
             lambda r=r: est.copy({est.weightCol: "weight"}).fit(
                 poisson_bootstrap(frame, key, r, seed).where("weight > 0")) for r in range(rounds)], parallelism)
     parts = [scored(m, test, None, [F.col(key).alias("test_id")]).select(

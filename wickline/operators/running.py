@@ -43,16 +43,15 @@ def hash_ranked(df: DataFrame, shuffle: Column, within: Sequence[str] = (), digi
 def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
     """Inner borders of equally filled value ranges; empty when one bucket is enough.
 
-    One pass: a row count and a quantile sketch of fixed size.
+    A count decides whether borders are needed at all; they come from one quantile sketch of fixed size.
     """
-    fractions = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    seen = df.agg(F.count(column).alias("n"),
-                  F.percentile_approx(column, fractions, 4 * MAX_BUCKETS).alias("q")).first()
-    wanted = min(MAX_BUCKETS, -(-seen["n"] // rows_per_bucket))
+    wanted = min(MAX_BUCKETS, -(-df.count() // rows_per_bucket))
     if wanted <= 1:
         return []
-    picks = [float(seen["q"][MAX_BUCKETS * i // wanted - 1]) for i in range(1, wanted)]
-    return sorted(set(picks))
+    fractions = ", ".join(f"{i}D / {wanted}D" for i in range(1, wanted))
+    name = column.replace("`", "``")
+    sketch = df.agg(F.expr(f"percentile_approx(cast(`{name}` as double), array({fractions}), {4 * wanted})")).first()[0]
+    return sorted(set(sketch or []))
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = "__bucket") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wickline import schemas
 from wickline.operators.casting import cast_klines, stamp_lineage
 from wickline.operators.incremental import incremental_slice
-from wickline.operators.quality import ensure_valid, validate_non_null, validate_schema
+from wickline.operators.quality import ensure_valid, validate_frame
 from wickline.small import fetch_if_small
 from wickline.sources import snapshots, tables
 from wickline.sources.kline_pages import read_kline_pages
@@ -43,13 +43,12 @@ def with_day(df: DataFrame) -> DataFrame:
 
 
 def check_raw(df: DataFrame) -> None:
-    ensure_valid(validate_schema(df, {"symbol": "str", **schemas.RAW}))
-    ensure_valid(validate_non_null(df, list(schemas.RAW)))
+    """Columns, types and missing values of stamped pages, in one pass."""
+    ensure_valid(validate_frame(df, {"symbol": "str", **schemas.RAW}))
 
 
 def check_transformed(df: DataFrame) -> None:
-    ensure_valid(validate_schema(df, {"symbol": "str", **schemas.TRANSFORMED}))
-    ensure_valid(validate_non_null(df, list(schemas.TRANSFORMED)))
+    ensure_valid(validate_frame(df, {"symbol": "str", **schemas.TRANSFORMED}))
 
 
 def create_tables(spark: SparkSession, market: Market) -> None:

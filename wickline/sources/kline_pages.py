@@ -26,7 +26,8 @@ def plan_pages(symbols: DataFrame, interval: str | None = None, limit: int = 100
                         F.lit(limit).alias("limit"))
 
 
-def write_kline_pages(candles: DataFrame, path: str, interval: str, limit: int = 1000) -> None:
+def write_kline_pages(candles: DataFrame, path: str, interval: str, limit: int = 1000,
+                      mode: str = "errorifexists") -> None:
     """Land candles the way the feed delivers them: JSON arrays of at most ``limit`` arrays.
 
     A page covers ``limit`` intervals, so the rows gathered into it are bounded.
@@ -39,7 +40,7 @@ def write_kline_pages(candles: DataFrame, path: str, interval: str, limit: int =
     pages = keyed.groupBy("symbol", "page").agg(
         F.array_sort(F.collect_list(F.struct("open_time", "row"))).alias("rows"))
     text = F.concat(F.lit("["), F.array_join(F.col("rows.row"), ","), F.lit("]"))
-    pages.select(text.alias("value"), "symbol").write.partitionBy("symbol").text(path)
+    pages.select(text.alias("value"), "symbol").write.mode(mode).partitionBy("symbol").text(path)
 
 
 def parse_kline_pages(pages: DataFrame) -> DataFrame:
