@@ -208,24 +208,24 @@ def grid_search(df: DataFrame, folds: int, label: str = schemas.TARGET, fold_col
                 numeric: Sequence[str] = tuple(schemas.FEATURES), parallelism: int = 4, grids: dict | None = None):
     """Cross-validated grid per model with refit; returns the result rows and the best models.
 
-    The fold column counts from 1; the score is the area under the ROC curve.
+    ``grids`` maps a name to an estimator and its parameter maps. The fold column counts from 1; the score is the area under the ROC curve.
     """
-    zoo = model_zoo(label)
     if grids is None:
+        zoo = model_zoo(label)
         logistic, tree, forest = zoo["logistic"], zoo["tree"], zoo["forest"]
         grids = {
-            "logistic": ParamGridBuilder().addGrid(logistic.regParam, [1e-4, 1e-2])
-            .addGrid(logistic.elasticNetParam, [0.0, 1.0]).build(),
-            "tree": ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).build(),
-            "forest": ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build(),
+            "logistic": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [1e-4, 1e-2])
+            .addGrid(logistic.elasticNetParam, [0.0, 1.0]).build()),
+            "tree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).build()),
+            "forest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build()),
         }
     spark, results, best = df.sparkSession, [], {}
     frame = preprocess_chain(df, numeric).transform(df).select(
         "features", label, (F.col(fold_column) - 1).cast("int").alias("__fold"))
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     with kept(frame) as cached:
-        for name, grid in grids.items():
-            search = CrossValidator(estimator=zoo[name], estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
+        for name, (model, grid) in grids.items():
+            search = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
                                     foldCol="__fold", parallelism=parallelism)
             fitted = search.fit(cached)
             best[name] = fitted.bestModel

@@ -118,14 +118,14 @@ def next_values(df: DataFrame, order: str, columns: dict[str, str], within: Sequ
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float],
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Exact linear-interpolated quantiles: one row per column, values in ``q0 .. qn``.
+    """Exact linear-interpolated quantiles of the present values: one row per column, ``q0 .. qn``.
 
     Built on counts per distinct value, so repeated values cost nothing and no task holds a column.
     """
     frame = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     wide = frame.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("e")).select("e.*")
-    wide = wide.where(F.col("value").isNotNull())
+    wide = wide.where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = wide.groupBy("column", "value").agg(F.count("*").alias("__n"))
     cuts = cut_points(wide, "value", rows_per_bucket)
     ranked = running_totals(counts, "value", {"__upto": "__n"}, ["column"], cuts)
