@@ -47,8 +47,9 @@ def test_next_values_equal_in_buckets(values, descending):
 def test_exact_quantiles(values, per_bucket):
     qs = [0.0, 0.01, 0.37, 0.5, 0.99, 1.0]
     xs = np.array([r["x"] for r in values.collect()])
-    both = values.withColumn("y", F.col("x") * 1000)
-    rows = {r["column"]: r for r in running.exact_quantiles(both, ["x", "y"], qs, per_bucket).collect()}
+    both = values.withColumn("y", F.col("x") * 1000).withColumn("z", F.lit(None).cast("double"))
+    rows = {r["column"]: r for r in running.exact_quantiles(both, ["x", "y", "z"], qs, per_bucket).collect()}
+    assert set(rows) == {"x", "y"} and rows["x"]["n"] == 3000
     for i, q in enumerate(qs):
         assert rows["x"][f"q{i}"] == pytest.approx(np.quantile(xs, q), abs=1e-12)
         assert rows["y"][f"q{i}"] == pytest.approx(np.quantile(xs, q) * 1000, abs=1e-9)
@@ -124,3 +125,12 @@ def test_bootstrap_draws_n_of_n(spark):
 def test_poisson_weights(spark):
     w = resampling.poisson_bootstrap(spark.range(20000), "id", 3).agg(F.avg("weight"), F.var_pop("weight")).first()
     assert w[0] == pytest.approx(1.0, abs=0.03) and w[1] == pytest.approx(1.0, abs=0.05)
+
+
+def test_quantiles_of_crowded_values(spark):
+    """Fences that cannot shrink below the sort limit still give exact results."""
+    df = spark.range(30000).selectExpr("cast(if(id % 3 = 0, 500, id % 1000) as double) as v")
+    xs = np.array([r[0] for r in df.collect()])
+    qs = [0.1, 0.5, 0.501, 0.9]
+    row = running.exact_quantiles(df, ["v"], qs, 3).first()
+    assert [row[f"q{i}"] for i in range(4)] == pytest.approx([np.quantile(xs, q) for q in qs])

@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickline.operators.metrics import score_counts
-from wickline.operators.running import ROWS_PER_BUCKET, cut_points, next_values, running_totals, with_bucket
+from wickline.operators.metrics import cumulative_counts
+from wickline.operators.running import ROWS_PER_BUCKET, cut_points, next_values, with_bucket
 
 
 def _cumulative(df: DataFrame, y: str, p: str, rows_per_bucket: int):
     """Counts at and above each distinct score, and the two totals as columns."""
     cuts = cut_points(df, p, rows_per_bucket)
-    counts = score_counts(df, (), y, p)
-    down = running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, (), cuts, descending=True)
+    down = cumulative_counts(df, (), y, p, cuts)
     totals = df.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) != 1).alias("N")).first()
     return down, cuts, totals["P"], totals["N"]
 

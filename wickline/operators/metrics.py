@@ -123,11 +123,18 @@ def brier_score(df: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p
     return df.groupBy(*by).agg((sum(F.avg(s) for s in squares) / F.lit(float(len(squares)))).alias("brier_score"))
 
 
-def score_counts(df: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p") -> DataFrame:
-    """Positives and negatives at each distinct score."""
-    positive = (F.col(y) == 1)
-    return df.groupBy(*by, F.col(p).alias("score")).agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+def score_marks(df: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p") -> DataFrame:
+    """Each row as a score with one positive or one negative."""
+    positive = (F.col(y) == 1).cast("bigint")
+    return df.select(*by, F.col(p).alias("score"), positive.alias("pos"), (F.lit(1) - positive).alias("neg"))
+
+
+def cumulative_counts(df: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p",
+                      cuts: Sequence[float] = ()) -> DataFrame:
+    """Per distinct score: positives and negatives at it (pos, neg) and at or above it (tp, fp)."""
+    marks = score_marks(df, by, y, p)
+    counts = marks.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, by, cuts, descending=True, base=marks)
 
 
 def one_vs_rest(df: DataFrame, class_p: dict, by: Sequence[str] = (), y: str = "y") -> DataFrame:
@@ -144,7 +151,7 @@ def ranking_metrics(df: DataFrame, by: Sequence[str] = (), y: str = "y", p: str
     NULL where a group has only one class.
     """
     cuts = cut_points(df, p, rows_per_bucket)
-    down = running_totals(score_counts(df, by, y, p), "score", {"tp": "pos", "fp": "neg"}, by, cuts, descending=True)
+    down = cumulative_counts(df, by, y, p, cuts)
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     # each negative is beaten by the positives with a higher score, and half-beaten by those tied with it
     beaten = F.sum(neg * (tp - pos / 2.0))

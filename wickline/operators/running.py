@@ -7,8 +7,10 @@ and only the rows of one bucket share a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -64,11 +66,13 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = "
 
 
 def running_totals(df: DataFrame, order: str, sums: dict[str, str], within: Sequence[str] = (),
-                   cuts: Sequence[float] = (), descending: bool = False) -> DataFrame:
+                   cuts: Sequence[float] = (), descending: bool = False, base: DataFrame | None = None) -> DataFrame:
     """Add inclusive running sums along ``order`` (whose values are distinct per group).
 
     ``sums`` maps a new column to the column it accumulates. ``cuts`` come from :func:`cut_points`;
-    without them the rows are known to fit one task.
+    without them the rows are known to fit one task. If ``df`` is itself an aggregate, ``base`` gives the
+    rows it was made from, with the same columns: bucket sums are then taken from them directly, which
+    spares a second pass through the aggregate's shuffle.
     """
     def direction(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()
@@ -78,7 +82,8 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, str], within: Sequ
         return df.select("*", *[F.sum(c).over(along).alias(n) for n, c in sums.items()])
     keys = [*within, "__bucket"]
     split = with_bucket(df, order, cuts)
-    totals = split.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    rows = split if base is None else with_bucket(base, order, cuts)
+    totals = rows.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     earlier = Window.partitionBy(*within).orderBy(direction("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in sums])
     inside = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -116,32 +121,109 @@ def next_values(df: DataFrame, order: str, columns: dict[str, str], within: Sequ
                       for n in columns]))
 
 
+SORTED_ROWS = 200_000
+SKETCH = 2_000
+
+
+class _Fence(NamedTuple):
+    """A value range around the wanted 0-based ranks ``first`` and ``last`` of a column."""
+
+    first: int
+    last: int
+    weight: float
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    inside: int = 0
+
+
+def _confirmed(frame: DataFrame, fences: dict[tuple, _Fence], ends: dict[tuple, tuple]) -> dict[tuple, _Fence]:
+    """Fences with the proposed ends, as far as exact counts show the wanted ranks to lie inside."""
+    counts = []
+    for c, i in ends:
+        low, high = ends[(c, i)]
+        counts += [F.count_if(F.col(c) < low), F.count_if(F.col(c).between(low, high))]
+    found = frame.agg(*counts).first()
+    closer = {}
+    for n, t in enumerate(ends):
+        below, inside, f = found[2 * n], found[2 * n + 1], fences[t]
+        if below <= f.first and f.last < below + inside:
+            closer[t] = f._replace(low=ends[t][0], high=ends[t][1], below=below, inside=inside)
+    return closer
+
+
+def _narrow(frame: DataFrame, fences: dict[tuple, _Fence]) -> dict[tuple, _Fence]:
+    """Closer fences from sketches of the values inside the present ones."""
+    sketches = []
+    for (c, _), f in fences.items():
+        span = [max(0.0, (f.first - f.below) / f.inside - 2 / SKETCH),
+                min(1.0, (f.last - f.below) / f.inside + 2 / SKETCH)]
+        sketches.append(F.percentile_approx(F.when(F.col(c).between(f.low, f.high), F.col(c)), span, SKETCH))
+    seen = frame.agg(*sketches).first()
+    return _confirmed(frame, fences, {t: tuple(q) for t, q in zip(fences, seen)})
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float],
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                    sort_rows: int = SORTED_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles of the present values: one row per column, ``q0 .. qn``.
 
-    Built on counts per distinct value, so repeated values cost nothing and no task holds a column.
+    Sketches fence in the few values around each wanted rank and exact counts confirm them, so that only
+    the rows inside the fences are grouped by value and ranked. A fence that stays wide, because very many
+    distinct values lie close together, is ranked in buckets.
     """
-    frame = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = frame.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("e")).select("e.*")
-    wide = wide.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = wide.groupBy("column", "value").agg(F.count("*").alias("__n"))
-    cuts = cut_points(wide, "value", rows_per_bucket)
-    ranked = running_totals(counts, "value", {"__upto": "__n"}, ["column"], cuts)
-    sizes = counts.groupBy("column").agg(F.sum("__n").alias("__size"))
-    placed = ranked.join(F.broadcast(sizes), "column")  # one row per listed column
+    void = F.lit(None).cast("double")
+    frame = df.select(*[F.nanvl(F.col(c).cast("double"), void).alias(c) for c in columns])
+    spans = [x for q in fractions for x in (max(0.0, q - 3 / SKETCH), min(1.0, q + 3 / SKETCH))]
+    seen = frame.agg(*[F.count(c) for c in columns], *[F.percentile_approx(c, spans, SKETCH) for c in columns]).first()
+    sizes = dict(zip(columns, seen))
+    fences, ends = {}, {}
+    for c, sketch in zip(columns, seen[len(columns):]):
+        for i, q in enumerate(fractions):
+            at = (sizes[c] - 1) * q
+            if sizes[c]:
+                fences[(c, i)] = _Fence(math.floor(at), math.ceil(at), at - math.floor(at), inside=sizes[c])
+            if sizes[c] > sort_rows:
+                ends[(c, i)] = (sketch[2 * i], sketch[2 * i + 1])
+    closer = _confirmed(frame, fences, ends) if ends else {}
+    for _ in range(3):
+        fences.update(closer)
+        wide = {t: fences[t] for t in closer if fences[t].inside > sort_rows and fences[t].low < fences[t].high}
+        if not wide:
+            break
+        closer = _narrow(frame, wide)
+    fences.update(closer)
+
+    # wanted ranks that share a fence share its rows
+    shared = {k: n for n, k in enumerate(dict.fromkeys((c, f.low, f.high) for (c, _), f in fences.items()))}
+    names = ", ".join(f"q{i} double" for i in range(len(fractions)))
+    if not shared:
+        return df.sparkSession.createDataFrame([], f"column string, n bigint, {names}")
+    near = [F.when(F.col(c).between(low, high), F.struct(F.lit(c).alias("column"), F.lit(n).alias("fence"),
+                                                         F.col(c).alias("value")))
+            for (c, low, high), n in shared.items()]
+    inside = frame.select(F.inline(F.array_compact(F.array(*near))))
+    keys = ["column", "fence"]
+    counts = inside.groupBy(*keys, "value").agg(F.count("*").alias("__n"))
+    crowded = max(f.inside for f in fences.values()) > ROWS_PER_BUCKET
+    ranked = running_totals(counts, "value", {"__upto": "__n"}, keys,
+                            cut_points(inside, "value", ROWS_PER_BUCKET) if crowded else (),
+                            base=inside.withColumn("__n", F.lit(1)))
+
+    def known(values: dict) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for e in values.items() for x in e]), F.col("fence"))
+
     picks = []
-    for i, q in enumerate(fractions):
-        at = (F.col("__size") - 1) * F.lit(float(q))
-        for side, position in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            first = F.col("__upto") - F.col("__n")
-            here = (first <= position) & (position < F.col("__upto"))
-            picks.append(F.max(F.when(here, F.col("value"))).alias(f"{side}{i}"))
-        picks.append(F.max(at - F.floor(at)).alias(f"w{i}"))
-    ends = placed.groupBy("column").agg(*picks, F.first("__size").alias("n"))
-    return ends.select("column", "n", *[
-        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
+    for i in range(len(fractions)):
+        mine = {shared[(c, f.low, f.high)]: f for (c, slot), f in fences.items() if slot == i}
+        for name, rank in (("low", {k: f.first - f.below for k, f in mine.items()}),
+                           ("high", {k: f.last - f.below for k, f in mine.items()})):
+            here = (F.col("__upto") - F.col("__n") <= known(rank)) & (known(rank) < F.col("__upto"))
+            picks.append(F.max(F.when(here, F.col("value"))).alias(f"{name}{i}"))
+        picks.append(F.max(known({k: f.weight for k, f in mine.items()})).alias(f"weight{i}"))
+    ends_found = ranked.groupBy("column").agg(*picks)
+    counted = F.create_map(*[F.lit(x) for c in columns for x in (c, sizes[c])])
+    return ends_found.select("column", F.element_at(counted, F.col("column")).alias("n"), *[
+        (F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * F.col(f"weight{i}")).alias(f"q{i}")
         for i in range(len(fractions))])
 
 
