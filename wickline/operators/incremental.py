@@ -43,7 +43,7 @@ def incremental_slice(source: DataFrame, loaded: DataFrame, interval_ms: int, ke
 
 def pending_transform(raw: DataFrame, transformed: DataFrame, keys: Sequence[str] = schemas.KEY) -> DataFrame:
     """Raw rows without a transformed row, whatever made the earlier run stop."""
-    return raw.join(transformed.select(*keys).distinct(), list(keys), "left_anti")
+    return raw.join(transformed.select(*keys), list(keys), "left_anti")
 
 
 def upsert_latest(table: DataFrame, changes: DataFrame, keys: Sequence[str] = schemas.KEY,

@@ -186,7 +186,7 @@ def find_gaps(candles: DataFrame, interval_ms: int, key: str = "symbol", time: s
     block = F.floor(F.col(time) / F.lit(interval_ms * slots)).alias("block")
     seen = candles.select(key, time, block).distinct()
     inner = seen.withColumn("after", F.lag(time).over(Window.partitionBy(key, "block").orderBy(time)))
-    ends = seen.groupBy(key, "block").agg(F.min(time).alias("first"), F.max(time).alias("last"))
+    ends = candles.groupBy(key, block).agg(F.min(time).alias("first"), F.max(time).alias("last"))
     outer = ends.select(key, F.col("first").alias(time),
                         F.lag("last").over(Window.partitionBy(key).orderBy("block")).alias("after"))
     steps = inner.select(key, time, "after").unionByName(outer)

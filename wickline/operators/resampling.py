@@ -127,7 +127,7 @@ def group_folds(df: DataFrame, group: str, positive: Column, k: int = 6, seed: i
     groups = df.groupBy(group).agg(F.count("*").alias("rows"), F.count_if(positive).alias("positives"))
     step = 100 - F.floor(F.col("positives") * 100 / F.col("rows"))
     order = F.concat(F.lpad(step.cast("string"), 3, "0"), shuffle_key(seed, F.col(group)))
-    ranked = hash_ranked(groups, order, digits=6, name="__rank")
+    ranked = hash_ranked(groups, order, digits=3 + 3, name="__rank")  # the share step, then the hash
     return ranked.withColumn(name, ((F.col("__rank") - 1) % k + 1).cast("int")).drop("__rank")
 
 

@@ -17,19 +17,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 20_000
 
 
 def _equal_on(left: str, right: str, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def hash_ranked(df: DataFrame, shuffle: Column, within: Sequence[str] = (), digits: int = 3,
+def leading_digits(rows: int) -> int:
+    """How many hex digits of a hash leave at most about a bucket of rows to each of their values."""
+    digits = 1
+    while rows > ROWS_PER_BUCKET * 16**digits:
+        digits += 1
+    return digits + 1
+
+
+def hash_ranked(df: DataFrame, shuffle: Column, within: Sequence[str] = (), digits: int | None = None,
                 name: str = "rank") -> DataFrame:
     """1-based rank of every row in the order of a hash text, per group.
 
-    The leading hex digits of the hash split even one huge group into 16^digits equal parts.
+    The leading hex digits of the hash split even one huge group into equal parts, as many as the row
+    count calls for.
     """
+    digits = digits or leading_digits(df.count())
     keys = [*within, "__part"]
     split = df.withColumn("__order", shuffle).withColumn("__part", F.substring("__order", 1, digits))
     sizes = split.groupBy(*keys).agg(F.count("*").alias("__n"))
@@ -57,11 +67,15 @@ def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKE
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = "__bucket") -> DataFrame:
-    """Number of the value range a row falls into; ascending with the column."""
+    """Number of the value range a row falls into (a range starts at its cut); ascending with the column."""
     if not cuts:
         return df.withColumn(name, F.lit(0))
+    if len(cuts) <= 32:
+        value = F.col(column)
+        return df.withColumn(name, sum(((value >= F.lit(c)).cast("int") for c in cuts[1:]),
+                                       (value >= F.lit(cuts[0])).cast("int")))
     cast = df.withColumn("__value", F.col(column).cast("double"))
-    ranges = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="__value", outputCol=name)
+    ranges = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__value", outputCol=name, handleInvalid="keep")
     return ranges.transform(cast).withColumn(name, F.col(name).cast("int")).drop("__value")
 
 
@@ -227,13 +241,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
         for i in range(len(fractions))])
 
 
-def hash_cut_values(df: DataFrame, label: str, shuffle: Column, ranks: dict, digits: int = 3) -> dict:
+def hash_cut_values(df: DataFrame, label: str, shuffle: Column, ranks: dict, digits: int | None = None) -> dict:
     """The hash text found at given 1-based ranks of each label's hash order.
 
     ``ranks`` maps a label to its list of ranks. Counts per leading digits find the part that holds a
     rank; only those few parts are read again and sorted. Rank 0 gives the empty text.
     """
     spark = df.sparkSession
+    digits = digits or leading_digits(max([r for rs in ranks.values() for r in rs], default=1))
     keyed = df.select(F.col(label).alias("label"), shuffle.alias("order"))
     keyed = keyed.withColumn("part", F.substring("order", 1, digits))
     sizes = keyed.groupBy("label", "part").agg(F.count("*").alias("n"))

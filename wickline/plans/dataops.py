@@ -92,9 +92,8 @@ def transform_pending(spark: SparkSession, market: Market) -> int:
         return 0
     if days is not None:
         raw, transformed = raw.where(F.col("day").isin(days)), transformed.where(F.col("day").isin(days))
-    keys = [*schemas.KEY]
     done = transformed.select("symbol", "day", F.unix_millis(F.col("open_time").cast("timestamp")).alias("open_time"))
-    fresh = raw.join(done.distinct(), [*keys, "day"], "left_anti")
+    fresh = raw.join(done, [*schemas.KEY, "day"], "left_anti")
     path = f"{market.root}/staging/transform-{int(time.time() * 1e6)}"
     cast_klines(fresh).write.parquet(path)
     rows = spark.read.parquet(path)

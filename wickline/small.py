@@ -25,6 +25,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def broadcast_table_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def broadcast_table_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast a stored dimension table when its row count (read from footers) allows it."""
     return F.broadcast(df) if df.count() <= max_rows else df
