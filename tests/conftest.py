@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session("tests", **{
-        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
+        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
         "spark.ui.enabled": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")

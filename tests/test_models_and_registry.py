@@ -162,9 +162,10 @@ def test_grid_search_ranks_settings(rows):
     tree = models.model_zoo()["tree"]
     folded = resampling.stratified_kfold(rows, "key", LABEL, 3)
     grids = {"tree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [1, 3]).build())}
-    results, best = models.grid_search(folded, 3, numeric=["a", "b"], grids=grids)
+    results, best = models.grid_search(folded, [1, 2, 3], numeric=["a", "b"], categorical=["c"], grids=grids)
     ranked = ranking.rank_grid(results).collect()
     assert {r["rank_test_score"] for r in ranked} == {1, 2} and set(best) == {"tree"}
+    assert best["tree"].transform(rows).count() == 400
 
 
 def test_bias_variance_rounds(parts):
@@ -191,6 +192,19 @@ def test_stored_model_scores_the_same(spark, rows, parts, tmp_path):
     assert all(r["passed"] for r in scoring.score_checks(wide, ["p0", "p1"]).collect())
 
 
+def test_a_stream_is_scored_like_a_table(spark, rows, parts, tmp_path):
+    from wickline.streaming.sources import append_stream, stream_files
+
+    ready, chain = parts
+    full = models.full_chain(chain, models.linear_estimator(iterations=10).fit(ready["train"]))
+    folder = str(tmp_path / "in")
+    rows.repartition(3).write.parquet(folder)
+    stream = stream_files(spark, folder, "*.parquet", rows.schema, per_trigger=1)
+    append_stream(scoring.batch_score(full, stream, ["key"]), str(tmp_path / "out"), str(tmp_path / "c"))
+    got, want = spark.read.parquet(str(tmp_path / "out")), scoring.batch_score(full, rows, ["key"])
+    assert got.count() == 400 and got.exceptAll(want).isEmpty()
+
+
 def test_registry_and_promotion(spark):
     t = datetime(2024, 1, 1)
     rows = spark.createDataFrame([("m", 1, "r1", "Staging", t), ("m", 1, "r1", "Production", t + timedelta(1)),

@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import compare, tables_in  # noqa: E402
 
-SLOW = {"serve_production", "initial_load", "incremental_load", "stream_ingest", "oof_predictions"}
+SLOW = {"serve_production", "initial_load", "incremental_load", "stream_ingest", "oof_predictions", "batch_score", "model_roundtrip"}
 NAMES = [n for n in entry.oracle_sql() if n not in SLOW or os.environ.get("WICKLINE_SLOW")]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -107,7 +108,7 @@ def q_first_run(spark, sf):
     """The first-run answer before and after the table of the loaded candles exists."""
     dataset, name = _table_name("market"), "raw_klines"
     before = tables.is_first_run(spark, dataset, name)
-    tables.create_dataset(spark, dataset)
+    tables.create_dataset(spark, dataset, fresh_path(spark, dataset))
     between = tables.is_first_run(spark, dataset, name)
     tables.append_table(d.klines_raw(spark, sf), f"{dataset}.{name}", location=fresh_path(spark, dataset))
     after = tables.is_first_run(spark, dataset, name)
@@ -135,8 +136,6 @@ def q_dataset_fingerprint(spark, sf):
 
 def q_read_version(spark, sf):
     root, df = fresh_path(spark, "versions"), d.klines_raw(spark, sf)
-    from datetime import timedelta
-
     first = snapshots.save_version(df.where(F.col("open_time") < d.SECOND_LOAD_MS), root, "klines", d.RUN_TS)
     snapshots.save_version(df, root, "klines", d.RUN_TS + timedelta(hours=1))
     return _summary(snapshots.read_version(spark, root, "klines", first))
@@ -149,8 +148,19 @@ def q_promote_table(spark, sf):
     return spark.table(name).groupBy("symbol").agg(F.count("*").alias("rows"), F.max("utc_datetime").alias("last"))
 
 
+def q_candles(spark, sf):
+    return d.klines_raw(spark, sf)
+
+
+def q_rise_rate(spark, sf):
+    """The flagship: how often each symbol's hourly candle rose."""
+    return d.klines_cleaned(spark, sf).groupBy("symbol").agg(
+        F.count("*").alias("candles"), F.sum("price_increase").alias("rises"),
+        F.round(F.avg("price_increase"), 6).alias("rise_rate"), F.sum("number_of_trades").alias("trades"))
+
+
 QUERIES = {
-    "interval_to_millis": q_interval_to_millis, "plan_pages": q_plan_pages, "read_kline_pages": q_read_kline_pages,
+    "candles": q_candles, "rise_rate": q_rise_rate, "interval_to_millis": q_interval_to_millis, "plan_pages": q_plan_pages, "read_kline_pages": q_read_kline_pages,
     "stamp_lineage": q_stamp_lineage, "query_table": q_query_table, "append_table": q_append_table,
     "truncate_table": q_truncate_table, "snapshot_csv": q_snapshot_csv, "read_csv_snapshot": q_read_csv_snapshot,
     "save_extract": q_save_extract, "first_run": q_first_run, "dataset_profile": q_dataset_profile,
@@ -167,6 +177,9 @@ _ROW = "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '\\N')" for c in [
 _DOC = "concat_ws('|', doc_id::varchar, coalesce(text,'\\N'), coalesce(lang,'\\N'), coalesce(source,'\\N'), n_chars::varchar)"
 
 ORACLES = {
+    "candles": f"with {d.KLINES_SQL} select symbol, {_FEED} from klines",
+    "rise_rate": f"""with {d.KLINES_SQL} select symbol, count(*) as candles, sum(price_increase)::bigint as rises,
+  round(avg(price_increase),6) as rise_rate, sum(number_of_trades)::bigint as trades from cleaned group by 1""",
     "interval_to_millis": """
 with t as (select l_quantity::int as n, case l_returnflag when 'A' then 'm' when 'R' then 'h' else 'd' end as u from lineitem)
 select n::varchar || u as "interval",

@@ -84,6 +84,15 @@ def q_tune(spark, sf):
                                         "is_best": F.col("params")["alpha"] == F.lit(best["alpha"])}).drop("params"))
 
 
+def q_trials_table(spark, sf):
+    """The stored form of the trials: number, parameter map, metrics."""
+    train, val, _ = parts(spark, sf)
+    path = fresh_path(spark, "trials")
+    models.tune(train, val, n_trials=2)[0].write.parquet(path)
+    stored = spark.read.parquet(path)
+    return d.rounded(stored.select("trial", "loss_rank", F.explode("params").alias("param", "setting"), "val_loss", "val_accuracy"), 9)
+
+
 def q_retrain(spark, sf):
     train, val, test = parts(spark, sf)
     _, best = models.tune(train, val)
@@ -93,7 +102,7 @@ def q_retrain(spark, sf):
 
 
 def q_grid_search(spark, sf):
-    return d.rounded(ranking.rank_grid(models.grid_search(folded(spark, sf), 5)[0]))
+    return d.rounded(ranking.rank_grid(models.grid_search(folded(spark, sf), [1, 2, 3, 4, 5], parallelism=8)[0]))
 
 
 def q_training_run(spark, sf):
@@ -106,7 +115,7 @@ def q_training_run(spark, sf):
 QUERIES = {
     "sample_trials": q_sample_trials, "train_linear": q_train_linear, "prior_baseline": q_prior_baseline,
     "stratified_baseline": q_stratified_baseline, "spot_check": q_spot_check, "oof_predictions": q_oof_predictions,
-    "cross_validation": q_cross_validation, "tune": q_tune, "retrain": q_retrain, "grid_search": q_grid_search,
+    "cross_validation": q_cross_validation, "tune": q_tune, "trials_table": q_trials_table, "retrain": q_retrain, "grid_search": q_grid_search,
     "training_run": q_training_run,
 }
 

@@ -13,23 +13,22 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.functions.hashing import hashed_uniform
 from wickline.operators.features import preprocess_chain
-from wickline.operators.metrics import overall_metrics
+from wickline.operators.metrics import overall_metrics, ranking_metrics
 from wickline.operators.resampling import SEED, poisson_bootstrap
 from wickline.small import fetch_if_small
 
@@ -204,35 +203,54 @@ def retrain(train: DataFrame, params: dict[str, float], label: str = schemas.TAR
     return linear_estimator(params["alpha"], ITERATIONS * EPOCHS, label=label).fit(train)
 
 
-def grid_search(df: DataFrame, folds: int, label: str = schemas.TARGET, fold_column: str = "fold",
-                numeric: Sequence[str] = tuple(schemas.FEATURES), parallelism: int = 4, grids: dict | None = None):
-    """Cross-validated grid per model with refit; returns the result rows and the best models.
+def default_grids(label: str = schemas.TARGET) -> dict[str, tuple[Estimator, list[dict]]]:
+    """Candidate models with the settings to try."""
+    zoo = model_zoo(label)
+    logistic, tree, forest = zoo["logistic"], zoo["tree"], zoo["forest"]
+    return {
+        "logistic": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [1e-4, 1e-2])
+                     .addGrid(logistic.elasticNetParam, [0.0, 1.0]).build()),
+        "tree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).build()),
+        "forest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build()),
+    }
+
+
+def _setting_text(setting: dict) -> str:
+    return ",".join(f"{p.name}={v}" for p, v in sorted(setting.items(), key=lambda e: e[0].name))
 
-    ``grids`` maps a name to an estimator and its parameter maps. The fold column counts from 1; the score is the area under the ROC curve.
+
+def grid_search(df: DataFrame, folds: Sequence[int], label: str = schemas.TARGET, fold_column: str = "fold",
+                numeric: Sequence[str] = tuple(schemas.FEATURES), categorical: Sequence[str] = (),
+                parallelism: int = 4, grids: dict[str, tuple[Estimator, list[dict]]] | None = None):
+    """Cross-validated search per model with refit; returns the result rows and the best whole chains.
+
+    ``grids`` maps a name to an estimator and its parameter maps. Preprocessing is fitted inside every fold,
+    once for all settings; the score is the exact area under the ROC curve of the held fold, measured for all
+    settings in one job.
     """
-    if grids is None:
-        zoo = model_zoo(label)
-        logistic, tree, forest = zoo["logistic"], zoo["tree"], zoo["forest"]
-        grids = {
-            "logistic": (logistic, ParamGridBuilder().addGrid(logistic.regParam, [1e-4, 1e-2])
-            .addGrid(logistic.elasticNetParam, [0.0, 1.0]).build()),
-            "tree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).build()),
-            "forest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build()),
-        }
-    spark, results, best = df.sparkSession, [], {}
-    frame = preprocess_chain(df, numeric).transform(df).select(
-        "features", label, (F.col(fold_column) - 1).cast("int").alias("__fold"))
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    with kept(frame) as cached:
-        for name, (model, grid) in grids.items():
-            search = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                                    foldCol="__fold", parallelism=parallelism)
-            fitted = search.fit(cached)
-            best[name] = fitted.bestModel
-            for setting, mean, std in zip(grid, fitted.avgMetrics, fitted.stdMetrics):
-                text = ",".join(f"{p.name}={v}" for p, v in sorted(setting.items(), key=lambda e: e[0].name))
-                results.append((name, text, float(mean), float(std)))
-    return spark.createDataFrame(results, "model string, param string, mean_test_score double, std_test_score double"), best
+    spark, grids = df.sparkSession, grids or default_grids(label)
+    tries = [(name, n, est, setting) for name, (est, grid) in grids.items() for n, setting in enumerate(grid)]
+    rows, keys = [], "model string, setting int, fold int, score double"
+    for fold in folds:
+        train, held = df.where(F.col(fold_column) != fold), df.where(F.col(fold_column) == fold)
+        chain = preprocess_chain(train, numeric, categorical)
+        with kept(chain.transform(train).select("features", label)) as frame:
+            fitted = side_by_side(spark, [lambda t=t: t[2].fit(frame, t[3]) for t in tries], parallelism)
+        ready = chain.transform(held).select("features", label)
+        parts = [scored(m, ready, label).withColumns({"model": F.lit(t[0]), "setting": F.lit(t[1])})
+                 for t, m in zip(tries, fitted)]
+        areas = ranking_metrics(reduce(DataFrame.unionByName, parts), ["model", "setting"])
+        rows += [(r["model"], r["setting"], fold, r["roc_auc"]) for r in areas.collect()]  # one row per setting
+    texts = spark.createDataFrame([(name, n, _setting_text(setting)) for name, n, _, setting in tries],
+                                  "model string, setting int, param string")
+    results = spark.createDataFrame(rows, keys).groupBy("model", "setting").agg(
+        F.avg("score").alias("mean_test_score"), F.stddev_pop("score").alias("std_test_score"))
+    tops = {r["model"]: r["setting"] for r in results.groupBy("model").agg(
+        F.max_by("setting", F.struct("mean_test_score", -F.col("setting"))).alias("setting")).collect()}
+    chain = preprocess_chain(df, numeric, categorical)
+    with kept(chain.transform(df).select("features", label)) as frame:
+        best = {name: full_chain(chain, grids[name][0].fit(frame, grids[name][1][n])) for name, n in tops.items()}
+    return results.join(texts, ["model", "setting"]).drop("setting"), best
 
 
 def cv_difference(scores: DataFrame, first: str, second: str) -> DataFrame:
@@ -268,7 +286,3 @@ def bias_variance_fit(train: DataFrame, test: DataFrame, key: str, rounds: int =
 def full_chain(chain: PipelineModel, classifier: Model) -> PipelineModel:
     """Preprocessing and classifier as one storable model."""
     return PipelineModel(stages=[*chain.stages, classifier])
-
-
-def unfitted_chain(stages: Sequence) -> Pipeline:
-    return Pipeline(stages=list(stages))

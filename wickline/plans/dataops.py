@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickline import schemas
 from wickline.operators.casting import cast_klines, stamp_lineage
@@ -52,8 +53,7 @@ def check_transformed(df: DataFrame) -> None:
 
 
 def create_tables(spark: SparkSession, market: Market) -> None:
-    tables.create_dataset(spark, market.dataset)
-    from pyspark.sql import types as T
+    tables.create_dataset(spark, market.dataset, f"{market.root}/tables")
 
     for name, declared in ((market.raw, schemas.RAW), (market.transformed, schemas.TRANSFORMED)):
         layout = T.StructType([T.StructField("symbol", T.StringType()), *schemas.struct_of(declared).fields,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,8 +22,9 @@ def is_first_run(spark: SparkSession, dataset: str, table: str) -> bool:
     return not dataset_exists(spark, dataset) or not table_exists(spark, f"{dataset}.{table}")
 
 
-def create_dataset(spark: SparkSession, dataset: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {dataset}")
+def create_dataset(spark: SparkSession, dataset: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {dataset}{place}")
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
@@ -74,10 +74,3 @@ def promote_table(staging: DataFrame, target: str, gate: DataFrame, disposition:
     if failed:
         raise ValueError(f"quality gate failed: {sorted(failed)}")
     append_table(staging, target, disposition, location=location)
-
-
-def drop_table_if_exists(spark: SparkSession, name: str) -> None:
-    try:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    except AnalysisException:
-        pass
