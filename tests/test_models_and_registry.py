@@ -175,6 +175,18 @@ def test_bias_variance_rounds(parts):
     assert {r["round"]: r["count"] for r in votes.groupBy("round").count().collect()} == {0: n, 1: n, 2: n}
 
 
+def test_one_scan_predicts_like_many(parts):
+    ready, _ = parts
+    fitted = [models.linear_estimator(a, 10).fit(ready["train"]) for a in (1e-4, 1.0)]
+    fitted.append(models.model_zoo()["tree"].fit(ready["train"]))
+    fitted.append(models.model_zoo()["linear_svc"].fit(ready["train"]))
+    out = models.predict_side_by_side(fitted, ready["test"], F.col("key"), "n")
+    for n, m in enumerate(fitted):
+        want = models.scored(m, ready["test"], None, ["key"]).select("key", "y_pred")
+        got = out.where(F.col("n") == n).select("key", "y_pred")
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_stored_model_scores_the_same(spark, rows, parts, tmp_path):
     ready, chain = parts
     full = models.full_chain(chain, models.linear_estimator(iterations=30).fit(ready["train"]))

@@ -278,9 +278,20 @@ def bias_variance_fit(train: DataFrame, test: DataFrame, key: str, rounds: int =
         models = side_by_side(train.sparkSession, [
             lambda r=r: est.copy({est.weightCol: "weight"}).fit(
                 poisson_bootstrap(frame, key, r, seed).where("weight > 0")) for r in range(rounds)], parallelism)
-    parts = [scored(m, test, None, [F.col(key).alias("test_id")]).select(
-        F.lit(r).alias("round"), "test_id", F.col("y_pred").alias("pred")) for r, m in enumerate(models)]
-    return reduce(DataFrame.unionByName, parts)
+    return predict_side_by_side(models, test, F.col(key).alias("test_id"), "round").withColumnRenamed("y_pred", "pred")
+
+
+def predict_side_by_side(models: Sequence[Model], df: DataFrame, key: Column, number: str) -> DataFrame:
+    """Predictions of many classifiers on the same rows, one row per model, from a single scan."""
+    wide = df.select(key, "features")
+    name, columns = wide.columns[0], []
+    for n, model in enumerate(models):
+        model = model.copy().setRawPredictionCol("").setPredictionCol(f"__pred{n}")
+        if model.hasParam("probabilityCol"):
+            model = model.setProbabilityCol("")
+        wide = model.transform(wide)
+        columns.append(F.struct(F.lit(n).alias(number), F.col(f"__pred{n}").cast("int").alias("y_pred")))
+    return wide.select(name, F.inline(F.array(*columns))).select(number, name, "y_pred")
 
 
 def full_chain(chain: PipelineModel, classifier: Model) -> PipelineModel:
