@@ -146,3 +146,17 @@ def test_promotion_needs_a_passing_gate(spark):
     good = quality.quality_gate(df, {"positive": F.col("v") > 0}, ["k", "v"])
     tables.promote_table(df, "promoted", good, location=fresh_path(spark, "promoted"))
     assert spark.table("promoted").count() == 2
+
+
+def test_only_files_landed_since_are_read(spark, raw_candles, tmp_path):
+    import os
+
+    pages = str(tmp_path / "p")
+    candles = raw_candles.select(F.lit("BTC").alias("symbol"), *schemas.PAGE_COLUMNS)
+    kline_pages.write_kline_pages(candles.limit(1), pages, "1m")
+    for f in (tmp_path / "p").rglob("*.txt"):
+        os.utime(f, (1_600_000_000, 1_600_000_000))
+    kline_pages.write_kline_pages(candles, pages, "1m", mode="append")
+    since = datetime(2022, 1, 1)
+    assert kline_pages.read_kline_pages(spark, pages).count() == 4
+    assert kline_pages.read_kline_pages(spark, pages, landed_after=since).count() == 3

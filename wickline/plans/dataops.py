@@ -119,15 +119,22 @@ def initial_load(spark: SparkSession, pages_path: str, market: Market, run_ts: d
     return _finish(spark, market, "initial", run_ts, n, began)
 
 
-def incremental_load(spark: SparkSession, pages_path: str, market: Market, run_ts: datetime) -> dict:
-    """Load what lies beyond each series' watermark; running it again on the same pages adds nothing."""
+def incremental_load(spark: SparkSession, pages_path: str, market: Market, run_ts: datetime,
+                     landed_after: datetime | None = None) -> dict:
+    """Load what lies beyond each series' watermark; running it again on the same pages adds nothing.
+
+    With ``landed_after``, usually the start of the run before, only files landed since are read.
+    """
     began = time.time()
-    fresh = incremental_slice(read_kline_pages(spark, pages_path), spark.table(market.raw), market.interval_ms)
+    pages = read_kline_pages(spark, pages_path, landed_after=landed_after)
+    fresh = incremental_slice(pages, spark.table(market.raw), market.interval_ms)
     n = load_raw(fresh.select("symbol", *schemas.PAGE_COLUMNS), market, run_ts)
     return _finish(spark, market, "incremental", run_ts, n, began)
 
 
-def run_dataops(spark: SparkSession, pages_path: str, market: Market, run_ts: datetime) -> dict:
+def run_dataops(spark: SparkSession, pages_path: str, market: Market, run_ts: datetime,
+                landed_after: datetime | None = None) -> dict:
     """The scheduled entry point: initial on the first run, incremental afterwards."""
-    first = tables.is_first_run(spark, market.dataset, market.raw_table)
-    return (initial_load if first else incremental_load)(spark, pages_path, market, run_ts)
+    if tables.is_first_run(spark, market.dataset, market.raw_table):
+        return initial_load(spark, pages_path, market, run_ts)
+    return incremental_load(spark, pages_path, market, run_ts, landed_after)

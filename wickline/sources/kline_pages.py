@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +55,14 @@ def parse_kline_pages(pages: DataFrame) -> DataFrame:
     return pages.select(*others, F.inline(typed))
 
 
-def read_kline_pages(spark: SparkSession, path: str, page_per_file: bool = False) -> DataFrame:
+def read_kline_pages(spark: SparkSession, path: str, page_per_file: bool = False,
+                     landed_after: datetime | None = None) -> DataFrame:
     """Every landed page below ``path``; all pages are one scan, so reading is their union.
 
-    Pages are lines, or whole files when a page was landed over several lines.
+    Pages are lines, or whole files when a page was landed over several lines. ``landed_after`` (UTC) leaves
+    out files written earlier: they are dropped from the listing and never opened.
     """
-    return parse_kline_pages(spark.read.text(path, wholetext=page_per_file))
+    reader = spark.read
+    if landed_after is not None:
+        reader = reader.option("modifiedAfter", f"{landed_after:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+    return parse_kline_pages(reader.text(path, wholetext=page_per_file))
