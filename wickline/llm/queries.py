@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from wickline.llm.near_join import near_components
 from wickline.llm.spans import table
 from wickline.llm.suffix_dedup import remove_repeats
+from wickline.llm.topk import integer_vectors, top_k
+from wickline.llm.warc import read_archives, write_archives
+from wickline.session import fresh_path
+
+
+def op3_warc(spark, sf):
+    """Per page: its record, read back from the archives that were written for the whole table."""
+    path = fresh_path(spark, "warc")
+    write_archives(table(spark, sf, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+    FROM f
+"""
 
 
 def op4_suffix_dedup(spark, sf):
@@ -12,10 +35,29 @@ def op4_suffix_dedup(spark, sf):
     return remove_repeats(table(spark, sf, "documents"), 400).drop("text", "kept_bytes")
 
 
+def op6_exact_topk(spark, sf):
+    """The 5 best other rows for every 50th vector."""
+    return top_k(integer_vectors(table(spark, sf, "embeddings")), F.col("vec_id") % 50 == 0, 5).withColumn(
+        "rank", F.col("rank").cast("int"))
+
+
+OP6_SQL = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op8_minhash(spark, sf):
     """Per document: its component of the links at 85 of 100, and whether it is the one that is kept."""
     return near_components(table(spark, sf, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op4_suffix_dedup, op8_minhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_warc, op4_suffix_dedup, op6_exact_topk, op8_minhash)}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_exact_topk": OP6_SQL}
