@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wickline.llm.decontaminate import leaks
+from wickline.llm.licenses import RULES, SENTENCES, CREATIVE, scan_licenses
 from wickline.llm.near_join import near_components
 from wickline.llm.spans import table
 from wickline.llm.suffix_dedup import remove_repeats
@@ -12,6 +14,45 @@ from wickline.llm.warc import read_archives, write_archives
 from wickline.session import fresh_path
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def op1_license_scan(spark, sf):
+    """Every licence text or notice in every document."""
+    return scan_licenses(table(spark, sf, "documents"))
+
+
+_KNOWN = [*SENTENCES.items(), *((f"cc {c}", f"Licensed under {c}") for c in CREATIVE)]
+_STEPS = [(i, name, len(ids), k, x) for i, (name, ids) in enumerate([*RULES, *((c.replace(" ", "-"), [f"cc {c}"]) for c in CREATIVE)])
+          for k, x in enumerate(ids)]
+_CUT = """list_transform(string_split(regexp_replace(lower(regexp_replace(regexp_replace(
+    {}, '\\r?\\n[ \\t]*([a-z(])', ' \\1', 'g'), '[.!?;:]+[ \\t\\r\\n]+|[\\r\\n]+', chr(10), 'g')), '[^a-z0-9\\n]+', ' ', 'g'), chr(10)),
+    lambda s: trim(s))"""
+OP1_SQL = f"""
+    WITH known AS (
+        SELECT sentence_id, list_filter({_CUT.format('sentence')}, lambda s: s <> '')[1] AS sentence
+        FROM (VALUES {', '.join(f"({_literal(a)}, {_literal(b)})" for a, b in _KNOWN)}) AS v(sentence_id, sentence)),
+    steps AS (
+        SELECT * FROM (VALUES {', '.join(f"({i}, {_literal(name)}, {n}, {k}, {_literal(x)})" for i, name, n, k, x in _STEPS)})
+        AS v(rule, licence, n, step, sentence_id)),
+    said AS (
+        SELECT doc_id, unnest(parts) AS sentence, unnest(range(len(parts))) AS place
+        FROM (SELECT doc_id, {_CUT.format('text')} AS parts FROM documents)),
+    found AS (
+        SELECT doc_id, place, sentence_id, dense_rank() OVER (PARTITION BY doc_id ORDER BY place) AS k
+        FROM said JOIN known USING (sentence)),
+    whole AS (
+        SELECT doc_id, rule, licence, n, k - step AS b, min(place) AS first_sentence
+        FROM found JOIN steps USING (sentence_id) GROUP BY ALL HAVING count(DISTINCT step) = n),
+    ordered AS (
+        SELECT *, max(b + n) OVER (PARTITION BY doc_id ORDER BY b, n DESC, rule
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS outer_end FROM whole)
+    SELECT doc_id, licence, rule, first_sentence::INT AS first_sentence, n AS n_sentences
+    FROM ordered WHERE outer_end IS NULL OR outer_end < b + n
+"""
+
+
 def op3_warc(spark, sf):
     """Per page: its record, read back from the archives that were written for the whole table."""
     path = fresh_path(spark, "warc")
@@ -54,10 +95,39 @@ OP6_SQL = """
 """
 
 
+def op7_decontaminate(spark, sf):
+    """Every document that holds a benchmark item, with the similarity and place of the best window."""
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 0.8)
+
+
+OP7_SQL = """
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+    i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
+    j AS (SELECT item_id, w, least(len(w), 5) AS g, greatest(len(w) - 4, 1) AS m FROM i WHERE len(w) > 0),
+    item_grams AS (
+        SELECT item_id, m, g, gram, count(*) AS n
+        FROM (SELECT item_id, m, g, unnest(list_transform(range(m), lambda p: list_slice(w, p + 1, p + g))) AS gram FROM j) GROUP BY ALL),
+    doc_grams AS (
+        SELECT doc_id, g, last, unnest(range(last)) AS pos, unnest(list_transform(range(last), lambda p: list_slice(w, p + 1, p + g))) AS gram
+        FROM (SELECT doc_id, w, g, len(w) - g + 1 AS last FROM d, (SELECT DISTINCT g FROM j)) WHERE last > 0),
+    hits AS (SELECT doc_id, item_id, m, last, pos, gram, n FROM doc_grams JOIN item_grams USING (g, gram)),
+    starts AS (
+        SELECT DISTINCT doc_id, item_id, start
+        FROM (SELECT doc_id, item_id, m, last, unnest(range(greatest(pos - m + 1, 0), pos + 1)) AS start FROM hits) WHERE start + m <= last),
+    shared AS (
+        SELECT doc_id, item_id, start, m, sum(c) AS c
+        FROM (SELECT doc_id, item_id, start, m, gram, least(count(*), any_value(n)) AS c
+              FROM starts JOIN hits USING (doc_id, item_id) WHERE pos >= start AND pos < start + m GROUP BY ALL) GROUP BY ALL),
+    scored AS (SELECT *, c / (2 * m - c) AS similarity FROM shared),
+    best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS r FROM scored WHERE similarity >= 0.8)
+    SELECT doc_id, item_id, round(similarity, 6) AS similarity, start::INT AS first_word FROM best WHERE r = 1
+"""
+
+
 def op8_minhash(spark, sf):
     """Per document: its component of the links at 85 of 100, and whether it is the one that is kept."""
     return near_components(table(spark, sf, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op3_warc, op4_suffix_dedup, op6_exact_topk, op8_minhash)}
-ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_exact_topk": OP6_SQL}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_warc, op4_suffix_dedup, op6_exact_topk, op7_decontaminate, op8_minhash)}
+ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_warc": OP3_SQL, "op6_exact_topk": OP6_SQL, "op7_decontaminate": OP7_SQL}
