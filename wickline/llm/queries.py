@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wickline.llm import language, pieces, severity
 from wickline.llm.decontaminate import leaks
 from wickline.llm.licenses import RULES, SENTENCES, CREATIVE, scan_licenses
 from wickline.llm.near_join import near_components
 from wickline.llm.spans import table
 from wickline.llm.suffix_dedup import remove_repeats
+from wickline.llm.token_rollup import TokenRollup, bpe_counter, count_tokens, signed, word_count
 from wickline.llm.topk import integer_vectors, top_k
 from wickline.llm.warc import read_archives, write_archives
-from wickline.session import fresh_path
+from wickline.session import fresh_path, settled
+
+
+#: Where the vocabularies of public tokenizers lie.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _literal(text: str) -> str:
@@ -53,6 +59,32 @@ OP1_SQL = f"""
 """
 
 
+def op2_token_counts(spark, sf, tokenizers=TOKENIZERS):
+    """Totals of all documents after an insert of everything, a delete of later copies of a text, and a recount of
+    what is left where runs of blanks shrink to one. The delete comes twice and counts once."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.regexp_replace("text", " +", " ")
+    keyed = docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"),
+                        "text", F.when(text != F.col("text"), text).alias("shrunk"))
+    counters = {"words": word_count, "byte_bpe_50k": bpe_counter(spark, f"{tokenizers}/byte_bpe_50k.tiktoken")}
+    counted = count_tokens(keyed, counters)
+    again = count_tokens(counted.withColumnRenamed("shrunk", "text").withColumn("is_shrunk", F.col("text").isNotNull()).withColumnsRenamed(
+        {c: f"old_{c}" for c in counters}), counters)
+    rows = settled(again.select(
+        "doc_id", "source", "lang", "a", "b", "is_shrunk",
+        F.explode(F.array(*[F.struct(F.lit(c).alias("tokenizer"), F.col(f"old_{c}").alias("old_tokens"), F.col(c).alias("new_tokens"))
+                            for c in counters])).alias("c")).select("doc_id", "source", "lang", "a", "b", "is_shrunk", "c.*"), "counts")
+    first = rows.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    marked = rows.join(first, ["a", "b"]).withColumn("copy", F.col("doc_id") > F.col("first"))
+    rollup = TokenRollup(spark, fresh_path(spark, "token-rollup"))
+    rollup.commit("insert", signed(rows.select("*", F.lit("insert").alias("change")).drop("new_tokens").withColumn("new_tokens", F.col("old_tokens"))))
+    copies = signed(marked.where("copy").withColumn("change", F.lit("delete")))
+    rollup.commit("delete", copies)
+    rollup.commit("delete", copies)
+    rollup.commit("revise", signed(marked.where("is_shrunk and not coalesce(copy, false)").withColumn("change", F.lit("revise"))))
+    return rollup.totals()
+
+
 def op3_warc(spark, sf):
     """Per page: its record, read back from the archives that were written for the whole table."""
     path = fresh_path(spark, "warc")
@@ -76,6 +108,18 @@ def op4_suffix_dedup(spark, sf):
     return remove_repeats(table(spark, sf, "documents"), 400).drop("text", "kept_bytes")
 
 
+def held_out(key):
+    """Whether a row is kept from the fit: crc32 of its id as text leaves 1 when divided by 3."""
+    return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+
+
+def op5_language_id(spark, sf):
+    """Per document: the predicted language and its calibrated probability."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
+    model = language.fit(docs.where(~F.col("held_out")), F.col("doc_id"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
 def op6_exact_topk(spark, sf):
     """The 5 best other rows for every 50th vector."""
     return top_k(integer_vectors(table(spark, sf, "embeddings")), F.col("vec_id") % 50 == 0, 5).withColumn(
@@ -129,5 +173,27 @@ def op8_minhash(spark, sf):
     return near_components(table(spark, sf, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_warc, op4_suffix_dedup, op6_exact_topk, op7_decontaminate, op8_minhash)}
+def op9_toxicity(spark, sf):
+    """Per document: expected severity, the likeliest grade and whether it is toxic."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return severity.grade(docs, severity.fit(docs, table(spark, sf, "labels"))).drop("text")
+
+
+def op10_sentencepiece(spark, sf, tokenizers=TOKENIZERS):
+    """Per document: its number of pieces, a digest of their ids, and whether decoding gives the text back."""
+    model = pieces.share_model(spark, f"{tokenizers}/piece_bpe_32k.model")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return piece_digests(pieces.decode(pieces.encode(docs, model), model))
+
+
+def piece_digests(rows):
+    ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return rows.select(
+        "doc_id", F.size("ids").alias("n_pieces"), ids.alias("ids_sha256"),
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.META, " ")).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_token_counts, op3_warc, op4_suffix_dedup, op5_language_id, op6_exact_topk, op7_decontaminate,
+    op8_minhash, op9_toxicity, op10_sentencepiece)}
 ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_warc": OP3_SQL, "op6_exact_topk": OP6_SQL, "op7_decontaminate": OP7_SQL}

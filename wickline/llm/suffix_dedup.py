@@ -223,14 +223,15 @@ def _inside(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False, keep: bool = False) -> DataFrame:
     """``doc_id`` and ``text`` of each row with kept_bytes, n_bytes, n_removed, n_spans and kept_sha256.
 
     A byte is removed when a string of ``width`` bytes (more than 100) that covers it also begins at another
     place of any row's text, the same row included; strings never cross rows. A null text is empty; texts below
     ``width`` stay whole; repeated rows repeat each other's text, and so lose it. Ids may be null or repeat; other
     columns are left out; an empty table gives an empty result. With ``whole_characters`` a character
-    stays unless all its bytes are to go, so what is kept is UTF-8.
+    stays unless all its bytes are to go, so what is kept is UTF-8. With ``keep`` the result is ``docs``, all its
+    columns, with what is kept as ``text`` and its length as ``n_chars`` where there is such a column.
     """
     if not ANCHOR < width < 2000:
         raise ValueError(f"width must lie between {ANCHOR} and 2000")
@@ -238,7 +239,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     small_batches(spark)
     texts = docs.select(
         F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(7), "text", "doc_id").alias("row_b"),
-        F.col("doc_id"), F.col("text").cast("string").alias("text"))
+        *(docs.columns if keep else ["doc_id"]), *([] if keep else [F.col("text").cast("string").alias("text")]))
     found = settled(texts.select("row_a", "row_b", "text").mapInArrow(
         partial(_scan, width=width),
         "gram long, whole long, row_a long, row_b long, at long, ahead short, count short"), "contexts")
@@ -265,10 +266,15 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     if counted:
         repeats = repeats.union(_window_counts(cut.join(common, "gram", "left_semi"), width))
     spans = repeats.groupBy("row_a", "row_b").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    return texts.join(spans, ["row_a", "row_b"], "left").mapInArrow(
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name not in ("row_a", "row_b"))
+    out = texts.join(spans, ["row_a", "row_b"], "left").mapInArrow(
         partial(_cut, whole_characters=whole_characters),
-        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, kept_bytes binary, n_bytes long, "
-        "n_removed long, n_spans long, kept_sha256 string")
+        f"{own}, kept_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    if not keep:
+        return out
+    text = F.when(F.col("text").isNotNull(), F.decode("kept_bytes", "UTF-8"))
+    new = {"text": text, **({"n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})}
+    return out.select(*[new.get(c, F.col(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def _window_counts(strings: DataFrame, width: int) -> DataFrame:
