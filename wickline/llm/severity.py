@@ -14,14 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.spans import SPACE, chunks, small_batches, texts_of, word_hashes
+from wickline.llm.spans import SPACE, chunks, mix, shingle_hashes, small_batches, span_hashes, texts_of, word_spans
 
 #: About so many labelled rows of either label are fitted on.
 FIT_ROWS = 4000
-#: A word is a feature when it is so many times as common in toxic rows as in clean ones, and the likelihood ratio of
+#: Besides the whole word, its first bytes are features, as stems take many endings.
+STEMS = (4, 5, 6)
+#: A word or stem counts when it is so many times as common in toxic rows as in clean ones, and the likelihood ratio of
 #: that is so large (20: a chance of one in 10^5).
-LEAST_LIFT, LEAST_RATIO = 5.0, 20.0
-STEPS, RATE, PENALTY = 400, 0.05, 1e-4
+LEAST_LIFT, LEAST_RATIO = 20.0, 20.0
+STEPS, RATE, PENALTY = 600, 0.05, 1e-5
 
 #: Words are runs of ASCII letters and digits and of other characters.
 BETWEEN = SPACE.copy()
@@ -41,21 +43,50 @@ class Model:
         return edges[:, :-1] - edges[:, 1:]
 
 
-def counted_words(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """For each text its distinct lower-case words (hashes, ascending), their counts, and the number of words."""
-    for _, held in chunks(texts):
-        words, first = word_hashes([t.lower() for t in held], BETWEEN)
-        for a, b in zip(first[:-1], first[1:]):
-            yield *np.unique(words[a:b], return_counts=True), int(b - a)
+def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words and stems of all texts, their text's number; words and where each text's begin."""
+    sums, start, end, first = word_spans([t.lower() for t in texts], BETWEEN)
+    words = span_hashes(sums, start, end)
+    owner = np.repeat(np.arange(len(texts)), np.diff(first))
+    made, owners = [words], [owner]
+    for n in STEMS:
+        longer = np.flatnonzero(end - start > n)
+        made.append(mix(span_hashes(sums, start[longer], start[longer] + n) + np.uint64(n)))
+        owners.append(owner[longer])
+    return np.concatenate(made), np.concatenate(owners), words, first
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct features with counts, and three least shingles, by which copies are told."""
+    seeds = mix(np.arange(1, 4, dtype=np.uint64))
     for batch in batches:
-        rows = list(counted_words(texts_of(batch.column(1))))
+        found, counts, least = [], [], []
+        for _, held in chunks(texts_of(batch.column(1))):
+            made, owner, words, first = features(held)
+            shingles, begins = shingle_hashes(words, first)
+            order = np.argsort(owner, kind="stable")
+            made, cuts = made[order], np.searchsorted(owner[order], np.arange(len(held) + 1))
+            for i in range(len(held)):
+                names, times = np.unique(made[cuts[i]: cuts[i + 1]], return_counts=True)
+                found.append(names.view(np.int64))
+                counts.append(times.astype(np.int32))
+                own = shingles[begins[i]: begins[i + 1]]
+                least.append([int(mix(own ^ s).min().view(np.int64)) for s in seeds] if len(own) else [])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([w.view(np.int64) for w, *_ in rows], pa.list_(pa.int64())),
-             pa.array([c.astype(np.int32) for _, c, _ in rows], pa.list_(pa.int32())), pa.array([n for *_, n in rows], pa.int64())],
-            names=["toxic", "words", "counts", "length"])
+            [batch.column(2).cast(pa.int64()), batch.column(0), pa.array(found, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())),
+             pa.array(least, pa.list_(pa.int64()))], names=["doc_id", "toxic", "words", "counts", "least"])
+
+
+def _apart(least: list[list[int]]) -> np.ndarray:
+    """Rows that share none of their least shingles with an earlier row: copies would pass for evidence."""
+    seen: set[tuple[int, int]] = set()
+    keep = []
+    for i, row in enumerate(least):
+        marks = set(enumerate(row))
+        if not marks & seen:
+            keep.append(i)
+        seen |= marks
+    return np.array(keep, dtype=np.int64)
 
 
 def _marked_words(words: np.ndarray, toxic: np.ndarray, clean_rows: int, toxic_rows: int) -> np.ndarray:
@@ -70,12 +101,11 @@ def _marked_words(words: np.ndarray, toxic: np.ndarray, clean_rows: int, toxic_r
     return names[lift & (ratio >= LEAST_RATIO)]
 
 
-def grades_from_flags(toxic: np.ndarray, marks: np.ndarray, length: np.ndarray, grades: int) -> np.ndarray:
-    """Severity where labels only say toxic or not: 0 for clean rows; toxic ones are graded from 1 by the share of
-    words that mark toxic rows, in equal parts of the toxic rows."""
-    share = marks / np.maximum(length, 1)
-    cuts = np.quantile(share[toxic], np.arange(1, grades - 1) / (grades - 1)) if toxic.any() else []
-    return np.where(toxic, 1 + np.searchsorted(cuts, share, side="right"), 0)
+def grades_from_flags(toxic: np.ndarray, marks: np.ndarray, grades: int) -> np.ndarray:
+    """Severity where labels only say toxic or not: 0 for clean rows; toxic ones are graded from 1 by how
+    many features they have that mark toxic rows, in about equal parts of the toxic rows."""
+    cuts = np.quantile(marks[toxic], np.arange(1, grades - 1) / (grades - 1)) if toxic.any() else []
+    return np.where(toxic, 1 + np.searchsorted(cuts, marks, side="right"), 0)
 
 
 def fit_ordinal(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, columns: int, grades: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,8 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = 4, fit_rows: int = FIT
     sizes = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, fit_rows / sizes.get(1, 1))).otherwise(min(1.0, fit_rows / sizes.get(0, 1)))
     picked = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_000)) < share * 1_000_000_000)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("toxic", "text").mapInArrow(
-        _examples, "toxic int, words array<long>, counts array<int>, length long").toArrow()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("toxic", "text", "doc_id").mapInArrow(
+        _examples, "doc_id long, toxic int, words array<long>, counts array<int>, least array<long>").toArrow().sort_by("doc_id")
+    rows = rows.take(pa.array(_apart(rows.column("least").to_pylist())))
     toxic = rows.column("toxic").to_numpy().astype(bool)
     per_row = np.array([len(x) for x in rows.column("words")], dtype=np.int64)
     flat = lambda name: np.concatenate([np.empty(0, np.int64), *(c.flatten().to_numpy() for c in rows.column(name).chunks)])
@@ -133,9 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = 4, fit_rows: int = FIT
         return Model(np.empty(0, np.uint64), np.empty(0), np.full(grades - 1, 20.0) + np.arange(grades - 1))
     column = np.minimum(np.searchsorted(chosen, words), len(chosen) - 1)
     known = chosen[column] == words
-    row, column, value = row[known], column[known], np.log1p(counts[known])
+    row, column, value = row[known], column[known], 1 + np.log(counts[known])
     marks = np.bincount(row, weights=counts[known], minlength=len(toxic))
-    grade = grades_from_flags(toxic, marks, rows.column("length").to_numpy(), grades)
+    grade = grades_from_flags(toxic, marks, grades)
     weights, thresholds = fit_ordinal(row, column, value, grade, len(chosen), grades)
     return Model(chosen, weights, thresholds)
 
@@ -146,13 +177,13 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Ite
     for batch in batches:
         scores = []
         for _, held in chunks(texts_of(batch.column("text"))):
-            words, first = word_hashes([t.lower() for t in held], BETWEEN)
-            column = np.minimum(np.searchsorted(model.words, words), max(len(model.words) - 1, 0))
-            at = np.flatnonzero(model.words[column] == words) if len(model.words) else np.empty(0, np.int64)
-            owner, column = np.searchsorted(first, at, side="right") - 1, column[at] if len(at) else at
+            made, owner, *_ = features(held)
+            column = np.minimum(np.searchsorted(model.words, made), max(len(model.words) - 1, 0))
+            at = np.flatnonzero(model.words[column] == made) if len(model.words) else np.empty(0, np.int64)
+            owner, column = owner[at], column[at] if len(at) else at
             # A word counts with the logarithm of its number in the text.
             pair, times = np.unique(np.stack([owner, column]), axis=1, return_counts=True)
-            scores.append(np.bincount(pair[0], weights=np.log1p(times) * model.weights[pair[1]], minlength=len(held))
+            scores.append(np.bincount(pair[0], weights=(1 + np.log(times)) * model.weights[pair[1]], minlength=len(held))
                           if len(at) else np.zeros(len(held)))
         p = model.grades(np.concatenate([np.empty(0), *scores]))
         made = [pa.array(p @ ladder), pa.array(p.argmax(axis=1).astype(np.int32), pa.int32()), pa.array(p[:, 0] < 0.5)]

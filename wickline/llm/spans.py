@@ -81,8 +81,8 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def word_hashes(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts in order, and where each text's words begin (one more entry than texts)."""
+def word_spans(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.ndarray, ...]:
+    """Prefix sums over all texts, begin and end of their words in order, and where each text's words begin."""
     buffer = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     space = is_space[buffer]
     before = np.empty_like(space)
@@ -90,7 +90,13 @@ def word_hashes(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.nd
     start, end = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
     edges = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=edges[1:])
-    return span_hashes(prefix_sums(buffer), start, end), np.searchsorted(start, edges)
+    return prefix_sums(buffer), start, end, np.searchsorted(start, edges)
+
+
+def word_hashes(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and where each text's words begin (one more entry than texts)."""
+    sums, start, end, first = word_spans(texts, is_space)
+    return span_hashes(sums, start, end), first
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
