@@ -1,14 +1,16 @@
 """Near-duplicate documents by b-bit MinHash signatures and a multi-index Hamming join.
 
-A signature is 35 MinHash values of 16 bits, cut into 7 chunks of 5. Two signatures that differ in at most
-13 values have a chunk that differs in at most one (pigeonhole: 7 chunks x 2 errors = 14), so of the keys
-that leave out one value of one chunk they share at least one. Pairs at Jaccard 0.85 have no such chunk
-with a chance of about 4 in a million. Every link is then confirmed on the full shingle sets.
+A signature is 128 MinHash values of 16 bits. The first 35 are cut into 7 chunks of 5. Two signatures that differ
+in at most 13 of these have a chunk that differs in at most one (pigeonhole: 7 chunks x 2 errors = 14), so of the
+keys that leave out one value of one chunk they share at least one. Pairs at Jaccard 0.85 have no such chunk with a
+chance of about 4 in a million. All 128 values then tell which pairs are near enough to be compared, and every
+link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +21,14 @@ from wickline.llm.components import components
 from wickline.llm.spans import BASE, discard, groups_of, mix, shingle_sets, small_batches, texts_of
 from wickline.session import settled
 
-CHUNKS, WIDTH = 7, 5
-VALUES = CHUNKS * WIDTH
-#: Pairs that differ in more values are not compared; the guarantee needs 13, a pair at 0.85 has more than 18
-#: with a chance of one in 10^7.
-FURTHEST = 18
+CHUNKS, WIDTH, VALUES = 7, 5, 128
+INDEXED = CHUNKS * WIDTH
+#: Pairs that differ in more values are not compared: at 0.85 that happens with a chance of one in a million.
+FURTHEST = 40
+#: Rounds in which each document is compared with the nearest one outside its component, before all pairs are.
+NEAREST_ROUNDS = 2
+#: Ids are broadcast up to so many (8 MB), else joined by a shuffle.
+MOST_BROADCAST = 500_000
 #: Rows of one key that one task compares with each other; larger groups are cut into blocks of this size.
 BLOCK = 2000
 
@@ -58,8 +63,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
-    """For rows of 35 values: the 35 keys that leave out one value of one chunk."""
-    keys = np.empty(signatures.shape, dtype=np.uint64)
+    """The 35 keys of each row that leave out one value of one chunk."""
+    signatures = signatures[:, :INDEXED]
+    keys = np.empty((len(signatures), INDEXED), dtype=np.uint64)
     wide = signatures.astype(np.uint64).reshape(-1, CHUNKS, WIDTH)
     for left_out in range(WIDTH):
         rest = np.delete(wide, left_out, axis=2)
@@ -77,73 +83,85 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk_keys(rows).ravel().view(np.int64)),
-                 pa.array(np.repeat(batch.column(0).to_numpy(), VALUES))], names=["key", "rep"])
+                 pa.array(np.repeat(batch.column(0).to_numpy(), INDEXED))], names=["key", "rep"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one key and cell that lie in different components and whose signatures and sizes are near."""
+def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of one key and cell that lie in different components and whose signatures and sizes are near.
+
+    With ``nearest`` each row gives its nearest one, else every pair comes once, from the first key that it shares.
+    """
     for group in groups_of(batches, ["key", "cell"]):
         key, cell = group.column("key").to_numpy(), group.column("cell").to_numpy()
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
-        rep, comp, pivot = (group.column(c).to_numpy() for c in ("rep", "component", "pivot"))
-        size, side = group.column("n_shingles").to_numpy(), group.column("side").to_numpy()
+        rep, comp, size, side = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "side"))
         rows = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
-        found_a, found_b = [], []
+        found: list[tuple[np.ndarray, ...]] = []
         for a, b in zip(starts, [*starts[1:], len(key)]):
             if comp[a:b].min() == comp[a:b].max():
                 continue
+            keys = None if nearest else chunk_keys(rows[a:b])
             for i in range(a, b):
-                # A cell of two blocks compares the first with the second, a cell of one block each pair once.
-                other = slice(i + 1, b)
-                near = (comp[other] != comp[i]) & (rep[other] != pivot[i]) & (rep[i] != pivot[i])
-                near &= 100 * np.minimum(size[other], size[i]) >= 85 * np.maximum(size[other], size[i])
-                near &= (side[other] != side[i]) | (side[i] == 2)
-                if near.any():
-                    near &= (rows[other] != rows[i]).sum(axis=1) <= FURTHEST
-                    hit = np.flatnonzero(near)
-                    found_a.append(np.full(len(hit), rep[i]))
-                    found_b.append(rep[other][hit])
-        if found_a:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], names=["a", "b"])
-
-
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+                other = np.arange(a if nearest else i + 1, b)
+                # A cell of two blocks compares the first with the second, a cell of one block all its rows.
+                other = other[(comp[other] != comp[i]) & ((side[other] != side[i]) | (side[i] == 2)) & (
+                    100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i]))]
+                if len(other):
+                    apart = (rows[other] != rows[i]).sum(axis=1)
+                    if nearest:
+                        best = int(apart.argmin())
+                        other, apart = other[best: best + 1], apart[best: best + 1]
+                    other, apart = other[apart <= FURTHEST], apart[apart <= FURTHEST]
+                    if not nearest and len(other):
+                        shared = keys[other - a] == keys[i - a]
+                        first = keys[i - a][shared.argmax(axis=1)].view(np.int64) == key[i]
+                        other, apart = other[first], apart[first]
+                    found.append((np.full(len(other), rep[i]), rep[other], apart))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], names=["a", "b", "apart"])
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of class representatives whose full sets reach the similarity."""
-    of = lambda x: classes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"sig_{x}"))
-    spark = pairs.sparkSession
-    halves = lambda sig: F.transform(
-        F.sequence(F.lit(0), F.lit(VALUES - 1)), lambda i: F.substring(F.hex(sig), i * 4 + 1, F.lit(4)))
-    apart = F.size(F.filter(F.zip_with(halves(F.col("sig_a")), halves(F.col("sig_b")), lambda x, y: x != y), lambda x: x))
-    near = settled(
-        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(of("a"), "a").join(of("b"), "b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).where(apart <= FURTHEST)
-        .select("a", "b", "n_a", "n_b"), "near")
-    asked = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = settled(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>")
-                   .dropDuplicates(["doc_id"]), "sets")
-    both = near.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b").join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b").join(
+        sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    links = settled(both.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b"), "links")
-    discard(spark, near, sets)
-    return links
+    return settled(both.where(100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)).select("a", "b"), "links")
+
+
+def _cells(members: DataFrame, placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the keys whose members lie in several components; keys of many rows are cut into cells of two blocks."""
+    rows = members.join(placed, "rep", "left").select("key", "rep", "size", F.coalesce("component", "rep").alias("component"))
+    split = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = rows.join(split.select("key"), "key").join(classes.select("rep", "n_shingles", "signature"), "rep").withColumn(
+        "blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return dealt.select(
+        "key", "rep", "component", "n_shingles", "signature",
+        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"),
+        F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side")).repartition(
+        "key", "cell").sortWithinPartitions("key", "cell")
 
 
 def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 x shared shingles >= ``percent`` x all shingles of the two (percent of at least
-    80); a component is named by its smallest doc_id and that document is kept. Null and empty texts have no
-    shingles and link with nothing; rows of a null doc_id are kept and link with nothing; rows that repeat an id
-    are one node; other columns are ignored; an empty table gives an empty result.
+    85, for which the constants are chosen); a component is named by its smallest doc_id and that document is kept.
+    Null and empty texts have no shingles and link with nothing; rows of a null doc_id are kept and link with nothing;
+    repeated rows are one node (an id is taken to name one text); other columns are ignored; an empty table gives
+    an empty result.
 
     Equal sets are one class first, so copies never meet as pairs. Each class is then compared with the first
-    member of each of its keys; where a key's members are still in several components, its other pairs follow,
-    in blocks. So a group of g near copies costs about g comparisons, and no link between different sets of
-    one key is left out unless its ends are already connected.
+    member of each of its keys, and in further rounds with the nearest one that its component does not hold yet.
+    Where the members of a key are still in several components, all pairs between these follow that are near
+    enough, in blocks. So a group of g near copies costs about g comparisons, and no link is left out
+    unless its ends are already connected.
     """
+    if percent < 85:
+        raise ValueError("the keys are made for a similarity of at least 85 of 100")
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -155,27 +173,27 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     keys = classes.select("rep", "signature").mapInArrow(_keys, "key long, rep long")
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count("*").alias("size"))
     members = settled(keys.join(shared.where("pivot <> top"), "key").select("key", "rep", "pivot", "size"), "members")
-
-    first = _confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")), docs, classes, percent)
-    joined = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = members.where("size > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "pivot", "size", F.coalesce("component", "rep").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = placed.join(split.select("key"), "key").join(classes.select("rep", "n_shingles", "signature"), "rep")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = open_rows.withColumn("blocks", blocks).withColumn("block", block).select("*", other).select(
-        "key", "rep", "pivot", "component", "n_shingles", "signature",
-        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"),
-        F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"))
-    more = cells.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_across, "a long, b long")
-    second = _confirm(more, docs, classes, percent)
-    links = first.union(second).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    named = components(links)
-    by_class = classes.join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
-        *name, F.coalesce("component", "rep").alias("component"))
+    ids = settled(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    asked = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    sets = settled(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>").dropDuplicates(
+        ["doc_id"]).withColumnRenamed("doc_id", "rep"), "sets")
+
+    links = [_confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")), sets, percent)]
+    groups = members.where("size > 2").select("key", "rep", "size")
+    for turn in range(NEAREST_ROUNDS + 1):
+        placed = _placed(links)
+        near = _cells(groups, placed, classes).mapInArrow(
+            partial(_across, nearest=turn < NEAREST_ROUNDS, percent=percent), "a long, b long, apart long")
+        if turn < NEAREST_ROUNDS:
+            near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("n")).select("a", "n.b")
+        links.append(_confirm(near, sets, percent))
+    by_class = classes.join(_placed(links), "rep", "left").select(*name, F.coalesce("component", "rep").alias("component"))
     out = signed.join(by_class, name, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    discard(spark, members, first, second)
+    discard(spark, members, sets, ids, *links)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _placed(links: list[DataFrame]) -> DataFrame:
+    edges = reduce(DataFrame.union, links).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return components(edges).withColumnRenamed("node", "rep")
