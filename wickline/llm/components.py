@@ -10,14 +10,17 @@ from wickline.session import settled
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round: each node hands its neighbours (the larger ones, or the smaller ones and itself) to the least of all."""
+    """One round: each node hands its neighbours (the larger ones, or the smaller ones and itself) to the least of all.
+
+    The least ones are written first, so that their join shuffles both sides and can split a hub's edges.
+    """
     if large:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = settled(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         out = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        least = settled(down.groupBy("u").agg(F.min("v").alias("m")), "least")
         out = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()

@@ -133,7 +133,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _cells(members: DataFrame, placed: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows of the keys whose members lie in several components; keys of many rows are cut into cells of two blocks."""
     rows = members.join(placed, "rep", "left").select("key", "rep", "size", F.coalesce("component", "rep").alias("component"))
-    split = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    split = settled(rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high"), "split")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rows.join(split.select("key"), "key").join(classes.select("rep", "n_shingles", "signature"), "rep").withColumn(
         "blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select(
@@ -171,8 +171,10 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = settled(signed.where("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(
         F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")), "classes")
     keys = classes.select("rep", "signature").mapInArrow(_keys, "key long, rep long")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count("*").alias("size"))
-    members = settled(keys.join(shared.where("pivot <> top"), "key").select("key", "rep", "pivot", "size"), "members")
+    # Written first, so that the join below shuffles both sides and can split a very common key.
+    shared = settled(keys.groupBy("key").agg(
+        F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count("*").alias("size")).where("pivot <> top"), "shared")
+    members = settled(keys.join(shared, "key").select("key", "rep", "pivot", "size"), "members")
     ids = settled(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
     asked = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     sets = settled(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>").dropDuplicates(
@@ -190,7 +192,7 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     by_class = classes.join(_placed(links), "rep", "left").select(*name, F.coalesce("component", "rep").alias("component"))
     out = signed.join(by_class, name, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    discard(spark, members, sets, ids, *links)
+    discard(spark, shared, members, sets, ids, *links)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -74,7 +74,7 @@ def op2_token_counts(spark, sf, tokenizers=TOKENIZERS):
         "doc_id", "source", "lang", "a", "b", "is_shrunk",
         F.explode(F.array(*[F.struct(F.lit(c).alias("tokenizer"), F.col(f"old_{c}").alias("old_tokens"), F.col(c).alias("new_tokens"))
                             for c in counters])).alias("c")).select("doc_id", "source", "lang", "a", "b", "is_shrunk", "c.*"), "counts")
-    first = rows.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    first = settled(rows.groupBy("a", "b").agg(F.min("doc_id").alias("first")), "first")
     marked = rows.join(first, ["a", "b"]).withColumn("copy", F.col("doc_id") > F.col("first"))
     rollup = TokenRollup(spark, fresh_path(spark, "token-rollup"))
     rollup.commit("insert", signed(rows.select("*", F.lit("insert").alias("change")).drop("new_tokens").withColumn("new_tokens", F.col("old_tokens"))))

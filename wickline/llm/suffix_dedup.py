@@ -243,12 +243,15 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     found = settled(texts.select("row_a", "row_b", "text").mapInArrow(
         partial(_scan, width=width),
         "gram long, whole long, row_a long, row_b long, at long, ahead short, count short"), "contexts")
-    shared = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-    rows = settled(found.join(shared.where("n > 1").select("gram", "n", (F.col("low") != F.col("high")).alias("mixed")), "gram"), "shared")
-    discard(spark, found)
-    counts = rows.groupBy("gram", "whole").agg(F.count("*").alias("times"))
+    # Written first, so that the join below shuffles both sides and can split a very common anchor.
+    shared = settled(found.groupBy("gram").agg(
+        F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")).where("n > 1").select(
+        "gram", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
+    rows = settled(found.join(shared, "gram"), "shared")
+    discard(spark, found, shared)
+    several = settled(rows.groupBy("gram", "whole").agg(F.count("*").alias("times")).where("times > 1").select("gram", "whole"), "several")
     span = [F.col("at").alias("begin"), (F.col("at") + F.col("count") + width - 1).alias("end")]
-    copies = rows.join(counts.where("times > 1"), ["gram", "whole"]).select("row_a", "row_b", *span)
+    copies = rows.join(several, ["gram", "whole"]).select("row_a", "row_b", *span)
 
     # One string of each kind is enough: others of its kind are copies.
     strings = settled(rows.where("mixed").groupBy("gram", "whole").agg(
