@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline.llm.components import components
-from wickline.llm.spans import BASE, discard, groups_of, mix, shingle_sets, small_batches, texts_of
+from wickline.llm.spans import BASE, chunks, discard, groups_of, mix, shingle_hashes, shingle_sets, small_batches, texts_of, word_hashes
 from wickline.session import settled
 
 CHUNKS, WIDTH, VALUES = 7, 5, 128
@@ -33,26 +33,33 @@ MOST_BROADCAST = 500_000
 BLOCK = 2000
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
+def signatures(shingles: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A row of values for each text, from the shingles of all; texts without shingles get a row without meaning."""
     seeds = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
-    least = np.empty(VALUES, dtype=np.uint64)
-    for i, seed in enumerate(seeds):
-        h = shingles * seed
-        least[i] = np.min(h ^ (h >> np.uint64(31)))
+    least = np.zeros((len(begins) - 1, VALUES), dtype=np.uint64)
+    full = np.flatnonzero(np.diff(begins))
+    if len(full):
+        product = np.empty_like(shingles)
+        for i, seed in enumerate(seeds):
+            np.multiply(shingles, seed, out=product)
+            least[full, i] = np.minimum.reduceat(product, begins[full])
     return (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, one, two, signatures = [], [], [], []
-        for s in shingle_sets(texts_of(batch.column(1))):
-            sizes.append(len(s))
-            one.append(int(np.bitwise_xor.reduce(mix(s))) if len(s) else 0)
-            two.append(int(np.add.reduce(mix(s + np.uint64(BASE)))) if len(s) else 0)
-            signatures.append(_signature(s).tobytes() if len(s) else b"")
+        sizes, one, two, signed = [], [], [], []
+        for _, held in chunks(texts_of(batch.column(1))):
+            shingles, begins = shingle_hashes(*word_hashes([t.lower() for t in held]))
+            signed.extend(row.tobytes() for row in signatures(shingles, begins))
+            for a, b in zip(begins[:-1], begins[1:]):
+                s = np.unique(shingles[a:b])
+                sizes.append(len(s))
+                one.append(int(np.bitwise_xor.reduce(s)) if len(s) else 0)
+                two.append(int(np.add.reduce(mix(s))) if len(s) else 0)
         wide = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (one, two)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), *wide, pa.array(signatures, pa.binary())],
+            [batch.column(0), pa.array(sizes, pa.int64()), *wide, pa.array(signed, pa.binary())],
             names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
 
 

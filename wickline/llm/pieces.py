@@ -11,6 +11,7 @@ symbols, and the shortest path of a text joins those of its units, which are rem
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,7 +26,7 @@ META = "▁"
 #: Costs are whole numbers, so that long sums stay exact: millionths of a score. A byte costs more than any piece.
 UNIT_COST, BYTE_COST = 1_000_000, 10 ** 17
 #: Units that a worker remembers, and their greatest length; the memory is emptied when it is full.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 600_000, 64
 
 _compiled: dict[int, "Transducer"] = {}
 
@@ -36,19 +37,20 @@ class Transducer:
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: list[int], dummy_prefix: bool = True):
         """``pieces``: text and score by id; a text that is None takes no part. ``byte_ids``: the ids of the 256 bytes."""
         self.dummy_prefix, self.byte_ids = dummy_prefix, byte_ids
-        self.trie: dict = {}
         self.bytes_of = [b""] * len(pieces)
+        #: A state is its arcs by character, and the least cost and the id of a piece that ends there.
+        self.root: list = [{}, None, None]
         joined = ""
         for i, (text, score) in enumerate(pieces):
             if not text:
                 continue
             self.bytes_of[i] = text.encode()
-            node = self.trie
+            state = self.root
             for c in text:
-                node = node.setdefault(c, {})
+                state = state[0].setdefault(c, [{}, None, None])
             cost = round(-score * UNIT_COST)
-            if None not in node or node[None][0] > cost:
-                node[None] = (cost, i)
+            if state[1] is None or state[1] > cost:
+                state[1:] = cost, i
             if len(text) > 1:
                 joined += text
             if META in text.lstrip(META):
@@ -78,28 +80,35 @@ class Transducer:
     def shortest_path(self, unit: str) -> list[int]:
         """The ids on the path of least cost over one unit."""
         n = len(unit)
-        cost, count, back = [0] + [float("inf")] * n, [0] * (n + 1), [None] * (n + 1)
+        cost, count, came, piece = [0] + [None] * n, [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            base, steps = cost[i], count[i] + 1
-            node, j = self.trie, i
-            while j < n and (node := node.get(unit[j])) is not None:
-                j += 1
-                if (arc := node.get(None)) is not None:
-                    total = base + arc[0]
-                    if total < cost[j] or total == cost[j] and steps < count[j]:
-                        cost[j], count[j], back[j] = total, steps, (i, (arc[1],))
-            raw = unit[i].encode("utf-8", "surrogatepass")
-            total, steps = base + BYTE_COST * len(raw), count[i] + len(raw)
-            if total < cost[i + 1]:
-                cost[i + 1], count[i + 1], back[i + 1] = total, steps, (i, tuple(self.byte_ids[b] for b in raw))
+            base, steps, state, covered = cost[i], count[i] + 1, self.root, False
+            for j in range(i, n):
+                state = state[0].get(unit[j])
+                if state is None:
+                    break
+                if (own := state[1]) is not None:
+                    covered = covered or j == i
+                    total, old = base + own, cost[j + 1]
+                    if old is None or total < old or total == old and steps < count[j + 1]:
+                        cost[j + 1], count[j + 1], came[j + 1], piece[j + 1] = total, steps, i, state[2]
+            if not covered:  # bytes cost more than any piece, so they matter only here
+                raw = unit[i].encode("utf-8", "surrogatepass")
+                total = base + BYTE_COST * len(raw)
+                if cost[i + 1] is None or total < cost[i + 1]:
+                    cost[i + 1], count[i + 1], came[i + 1], piece[i + 1] = total, count[i] + len(raw), i, raw
         path, at = [], n
         while at:
-            at, ids = back[at]
-            path.append(ids)
-        return [i for ids in reversed(path) for i in ids]
+            if isinstance(piece[at], bytes):
+                path.extend(self.byte_ids[b] for b in reversed(piece[at]))
+            else:
+                path.append(piece[at])
+            at = came[at]
+        path.reverse()
+        return path
 
     def _unit(self, unit: str) -> bytes:
-        found = np.array(self.shortest_path(unit), dtype=np.int32).tobytes()
+        found = array("i", self.shortest_path(unit)).tobytes()
         if len(unit) <= LONGEST:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()

@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.spans import SPACE, chunks, mix, shingle_hashes, small_batches, span_hashes, texts_of, word_spans
+from wickline.llm.spans import SPACE, chunks, discard, mix, shingle_hashes, small_batches, span_hashes, texts_of, word_spans
+from wickline.session import settled
 
 #: About so many labelled rows of either label are fitted on.
-FIT_ROWS = 4000
+FIT_ROWS = 3000
 #: Besides the whole word, its first bytes are features, as stems take many endings.
 STEMS = (4, 5, 6)
 #: A word or stem counts when it is so many times as common in toxic rows as in clean ones, and the likelihood ratio of
@@ -89,16 +90,14 @@ def _apart(least: list[list[int]]) -> np.ndarray:
     return np.array(keep, dtype=np.int64)
 
 
-def _marked_words(words: np.ndarray, toxic: np.ndarray, clean_rows: int, toxic_rows: int) -> np.ndarray:
-    """Words that mark toxic rows. ``words`` has an entry, with its row's label, for each row that holds one."""
-    names, at = np.unique(words, return_inverse=True)
-    bad = np.bincount(at, weights=toxic, minlength=len(names))
-    good = np.bincount(at, minlength=len(names)) - bad
-    share = toxic_rows / max(clean_rows + toxic_rows, 1)
-    log = lambda x, of: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum((bad + good) * of, 1e-9)), 0.0)
-    ratio = 2 * (log(bad, share) + log(good, 1 - share))
-    lift = (bad / max(toxic_rows, 1)) >= LEAST_LIFT * (good / max(clean_rows, 1))
-    return names[lift & (ratio >= LEAST_RATIO)]
+def _marked_words(pairs: DataFrame, clean_rows: int, toxic_rows: int) -> DataFrame:
+    """Words that mark toxic rows. ``pairs`` has a row for each row and distinct word of it."""
+    bad, n, share = F.col("bad"), F.col("n"), toxic_rows / max(clean_rows + toxic_rows, 1)
+    log = lambda x, of: F.when(x > 0, x * F.log(x / (n * of))).otherwise(0.0)
+    ratio = 2 * (log(bad, share) + log(n - bad, 1 - share))
+    lift = bad / max(toxic_rows, 1) >= LEAST_LIFT * (n - bad) / max(clean_rows, 1)
+    return pairs.groupBy("words").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where(
+        (bad > 0) & lift & (ratio >= LEAST_RATIO)).select("words")
 
 
 def grades_from_flags(toxic: np.ndarray, marks: np.ndarray, grades: int) -> np.ndarray:
@@ -142,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = 4, fit_rows: int = FIT
     """A model from texts (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
     About ``fit_rows`` rows of either label are used (the documented bound), picked by a hash of doc_id; they are
-    few, so their labels are broadcast and no text moves. Null labels and ids teach nothing; of several labels of an id
+    few, so their labels are broadcast and no text moves; only features that mark a label reach the driver. Null labels and ids teach nothing; of several labels of an id
     the worst counts. Without toxic or clean rows, or without words that tell them apart, everything is clean.
     """
     spark = docs.sparkSession
@@ -151,23 +150,26 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = 4, fit_rows: int = FIT
     sizes = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, fit_rows / sizes.get(1, 1))).otherwise(min(1.0, fit_rows / sizes.get(0, 1)))
     picked = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_000)) < share * 1_000_000_000)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("toxic", "text", "doc_id").mapInArrow(
-        _examples, "doc_id long, toxic int, words array<long>, counts array<int>, least array<long>").toArrow().sort_by("doc_id")
-    rows = rows.take(pa.array(_apart(rows.column("least").to_pylist())))
-    toxic = rows.column("toxic").to_numpy().astype(bool)
-    per_row = np.array([len(x) for x in rows.column("words")], dtype=np.int64)
-    flat = lambda name: np.concatenate([np.empty(0, np.int64), *(c.flatten().to_numpy() for c in rows.column(name).chunks)])
-    words, counts = flat("words").astype(np.int64).view(np.uint64), flat("counts")
-    row = np.repeat(np.arange(len(toxic)), per_row)
-    chosen = _marked_words(words, toxic[row].astype(float), int((~toxic).sum()), int(toxic.sum()))
+    rows = settled(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select(
+        "toxic", "text", "doc_id").mapInArrow(
+        _examples, "doc_id long, toxic int, words array<long>, counts array<int>, least array<long>"), "examples")
+    known = rows.select("doc_id", "toxic", "least").toArrow().sort_by("doc_id")
+    known = known.take(pa.array(_apart(known.column("least").to_pylist())))
+    ids, toxic = known.column("doc_id").to_numpy(), known.column("toxic").to_numpy().astype(bool)
+    kept = rows.join(F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "doc_id long")), "doc_id")
+    pairs = kept.select("doc_id", "toxic", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("doc_id", "toxic", "x.*")
+    chosen = np.sort(np.array([r.words for r in _marked_words(pairs, int((~toxic).sum()), int(toxic.sum())).collect()], dtype=np.int64).view(np.uint64))
     if not len(chosen):
+        discard(spark, rows)
         return Model(np.empty(0, np.uint64), np.empty(0), np.full(grades - 1, 20.0) + np.arange(grades - 1))
-    column = np.minimum(np.searchsorted(chosen, words), len(chosen) - 1)
-    known = chosen[column] == words
-    row, column, value = row[known], column[known], 1 + np.log(counts[known])
-    marks = np.bincount(row, weights=counts[known], minlength=len(toxic))
-    grade = grades_from_flags(toxic, marks, grades)
-    weights, thresholds = fit_ordinal(row, column, value, grade, len(chosen), grades)
+    marks = spark.createDataFrame([(int(w),) for w in chosen.view(np.int64)], "words long")
+    found = pairs.join(F.broadcast(marks), "words").select("doc_id", "words", "counts").toArrow()
+    discard(spark, rows)
+    row = np.searchsorted(ids, found.column("doc_id").to_numpy())
+    column = np.searchsorted(chosen, found.column("words").to_numpy().view(np.uint64))
+    counts = found.column("counts").to_numpy()
+    grade = grades_from_flags(toxic, np.bincount(row, weights=counts, minlength=len(toxic)), grades)
+    weights, thresholds = fit_ordinal(row, column, 1 + np.log(counts), grade, len(chosen), grades)
     return Model(chosen, weights, thresholds)
 
 
