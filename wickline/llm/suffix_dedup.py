@@ -239,7 +239,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     small_batches(spark)
     texts = docs.select(
         F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(7), "text", "doc_id").alias("row_b"),
-        *(docs.columns if keep else ["doc_id"]), *([] if keep else [F.col("text").cast("string").alias("text")]))
+        F.struct(*([c for c in docs.columns if c != "text"] if keep else ["doc_id"])).alias("rest"),
+        F.col("text").cast("string").alias("text"))
     found = settled(texts.select("row_a", "row_b", "text").mapInArrow(
         partial(_scan, width=width),
         "gram long, whole long, row_a long, row_b long, at long, ahead short, count short"), "contexts")
@@ -269,15 +270,17 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     if counted:
         repeats = repeats.union(_window_counts(cut.join(common, "gram", "left_semi"), width))
     spans = repeats.groupBy("row_a", "row_b").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name not in ("row_a", "row_b"))
     out = texts.join(spans, ["row_a", "row_b"], "left").mapInArrow(
         partial(_cut, whole_characters=whole_characters),
-        f"{own}, kept_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        f"rest {texts.schema['rest'].dataType.simpleString()}, text string, kept_bytes binary, n_bytes long, n_removed long, "
+        "n_spans long, kept_sha256 string")
     if not keep:
-        return out
-    text = F.when(F.col("text").isNotNull(), F.decode("kept_bytes", "UTF-8"))
-    new = {"text": text, **({"n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})}
-    return out.select(*[new.get(c, F.col(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+        return out.select("rest.doc_id", "text", "kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    new = {c: F.col("rest").getField(c) for c in docs.columns if c != "text"}
+    new["text"] = F.when(F.col("text").isNotNull(), F.decode("kept_bytes", "UTF-8"))
+    if "n_chars" in new:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length(new["text"])).otherwise(new["n_chars"])
+    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def _window_counts(strings: DataFrame, width: int) -> DataFrame:
