@@ -200,12 +200,20 @@ def overall_metrics(df: DataFrame, by: Sequence[str] = (), prefix: str = "", cla
         ranks = ranking_metrics(one_vs_rest(frame, class_p, keys, y), [*keys, "class"], rows_per_bucket=rows_per_bucket)
         ranks = ranks.groupBy(*keys).agg(F.avg("roc_auc").alias("roc_auc"),
                                          F.avg("average_precision").alias("average_precision"))
-    wide = labels.join(loss, keys).join(brier, keys).join(
-        ranks.withColumnRenamed("average_precision", "precision_recall_auc"), keys)
+    wide = labels
+    for part in (loss, brier, ranks.withColumnRenamed("average_precision", "precision_recall_auc")):
+        wide = _join_groups(wide, part, keys)
     lead = f"{prefix}_" if prefix else ""
     return wide.select(*by, *[F.col(m).alias(f"{lead}{m}") for m in OVERALL])
 
 
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on group columns where null is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"__right_{k}" for k in keys])
+
+
 def as_metric_rows(wide: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Wide metric columns as (name, value) rows."""
     names = [c for c in wide.columns if c not in by]

@@ -133,9 +133,9 @@ def group_folds(df: DataFrame, group: str, positive: Column, k: int = 6, seed: i
 
 def group_kfold(df: DataFrame, group: str, positive: Column, k: int = 6, seed: int = SEED,
                 name: str = "fold") -> DataFrame:
-    """Rows with the fold of their group; no group is in two folds."""
-    folds = group_folds(df, group, positive, k, seed, name).select(group, name)
-    return df.join(folds, group)
+    """Rows with the fold of their group; no group is in two folds; the rows without a group are one."""
+    folds = group_folds(df, group, positive, k, seed, name).select(F.col(group).alias("__group"), name)
+    return df.join(folds, F.col(group).eqNullSafe(F.col("__group"))).drop("__group").select(group, *[c for c in df.columns if c != group], name)
 
 
 def assign_variant(df: DataFrame, unit: str, variants: Sequence[str] = ("A", "B"), seed: int | str = "ab",

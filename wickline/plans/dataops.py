@@ -14,6 +14,7 @@ from wickline import schemas
 from wickline.operators.casting import cast_klines, stamp_lineage
 from wickline.operators.incremental import incremental_slice
 from wickline.operators.quality import ensure_valid, validate_frame
+from wickline.operators.shaping import dedupe_latest
 from wickline.small import fetch_if_small
 from wickline.sources import snapshots, tables
 from wickline.sources.kline_pages import read_kline_pages
@@ -62,10 +63,11 @@ def create_tables(spark: SparkSession, market: Market) -> None:
 
 
 def load_raw(pages: DataFrame, market: Market, run_ts: datetime) -> int:
-    """Snapshot the stamped rows, validate the snapshot's twin in staging, then append; returns the rows."""
+    """Snapshot the stamped rows, each candle once, validate the snapshot's twin in staging, then append; returns the rows."""
     spark = pages.sparkSession
     staging = f"{market.root}/staging/{run_ts:%Y%m%dT%H%M%S}"
-    with_day(stamp_lineage(pages, run_ts)).write.mode("overwrite").parquet(staging)
+    once = dedupe_latest(pages, schemas.KEY, [])  # page ends overlap in the feed
+    with_day(stamp_lineage(once, run_ts)).write.mode("overwrite").parquet(staging)
     rows = spark.read.parquet(staging)
     n = rows.count()
     if n:
@@ -76,10 +78,17 @@ def load_raw(pages: DataFrame, market: Market, run_ts: datetime) -> int:
 
 
 def days_behind(raw: DataFrame, transformed: DataFrame) -> list | None:
-    """Days whose row counts differ between the tables; None when they are too many to list."""
-    a = raw.groupBy("day").agg(F.count("*").alias("r"))
-    b = transformed.groupBy("day").agg(F.count("*").alias("t"))
-    uneven = a.join(b, "day", "left").where(F.col("t").isNull() | (F.col("r") > F.col("t")))
+    """Days whose keys differ between the tables; None when they are too many to list.
+
+    A day is described by the number of its distinct keys and the sum of their hashes, so equal counts of
+    different keys do not pass.
+    """
+    millis = F.unix_millis(F.col("open_time").cast("timestamp")).alias("open_time")
+    described = lambda keys, name: keys.distinct().groupBy("day").agg(F.struct(
+        F.count("*"), F.sum(F.xxhash64("symbol", "open_time").cast("decimal(38,0)"))).alias(name))
+    a = described(raw.select("day", "symbol", F.col("open_time").cast("long").alias("open_time")), "r")
+    b = described(transformed.select("day", "symbol", millis), "t")
+    uneven = a.join(b, "day", "left").where(~F.col("r").eqNullSafe(F.col("t")))
     rows = fetch_if_small(uneven.select("day"))
     return None if rows is None else [r["day"] for r in rows]
 

@@ -35,12 +35,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, as the cluster names it.
 
-    Only a session without that setting (a laptop, the tests) gets a temporary folder.
+    Only a local session without that setting (a laptop, the tests) gets a temporary folder; on a cluster each
+    machine would have its own, so there the setting must be made.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     named = named or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="wickline-")

@@ -14,17 +14,6 @@ def fetch_if_small(df: DataFrame, max_rows: int = SMALL_ROWS):
     return rows if len(rows) <= max_rows else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a summary after counting it; a larger one is left to a shuffle join.
-
-    The rows are materialised once, so the summary is not computed a second time.
-    """
-    rows = fetch_if_small(df, max_rows)
-    if rows is None:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def broadcast_table_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast a stored dimension table when its row count (read from footers) allows it."""
     return F.broadcast(df) if df.count() <= max_rows else df

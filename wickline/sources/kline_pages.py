@@ -35,8 +35,9 @@ def write_kline_pages(candles: DataFrame, path: str, interval: str, limit: int =
     A page covers ``limit`` intervals, so the rows gathered into it are bounded.
     """
     width = millis_of(interval) * limit
-    cells = [F.col(c).cast("string") if c in schemas.PAGE_INTEGERS
-             else F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in schemas.PAGE_COLUMNS]
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, r'(["\\\\])', r"\\$1"), F.lit('"'))
+    cells = [F.coalesce(F.col(c).cast("string") if c in schemas.PAGE_INTEGERS else quoted(F.col(c)), F.lit("null"))
+             for c in schemas.PAGE_COLUMNS]
     row = F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]"))
     keyed = candles.select("symbol", F.floor(F.col("open_time") / width).alias("page"), "open_time", row.alias("row"))
     pages = keyed.groupBy("symbol", "page").agg(
@@ -46,8 +47,14 @@ def write_kline_pages(candles: DataFrame, path: str, interval: str, limit: int =
 
 
 def parse_kline_pages(pages: DataFrame) -> DataFrame:
-    """Page texts to rows: twelve named columns, times and counts as numbers, the rest as text."""
-    rows = F.from_json("value", "array<array<string>>")
+    """Page texts to rows: twelve named columns, times and counts as numbers, the rest as text.
+
+    A page that is not an array of arrays of twelve cells fails the job, so no row is lost; blank lines are no pages.
+    """
+    parsed = F.from_json("value", "array<array<string>>")
+    wide = F.forall(parsed, lambda r: F.coalesce(F.size(r) == len(schemas.PAGE_COLUMNS), F.lit(False)))
+    broken = F.raise_error(F.concat(F.lit("not a page of candles: "), F.substring("value", 1, 200))).cast("array<array<string>>")
+    rows = F.when(F.trim("value", F.lit(" \t\r\n")) == "", None).when(F.coalesce(wide, F.lit(False)), parsed).otherwise(broken)
     typed = F.transform(rows, lambda r: F.struct(*[
         (F.get(r, i).cast("long") if c in schemas.PAGE_INTEGERS else F.get(r, i)).alias(c)
         for i, c in enumerate(schemas.PAGE_COLUMNS)]))
