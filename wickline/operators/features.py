@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline import schemas
-from wickline.operators.running import exact_quantiles
-from wickline.small import fetch_if_small
+from wickline.operators.running import exact_quantiles, ordered_sums
+from wickline.session import settled
+from wickline.small import broadcast_table_if_small
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -46,26 +47,33 @@ def mean_impute(df: DataFrame, train: DataFrame, columns: Sequence[str], strateg
                            for c, v in fills.items()})
 
 
-def fit_categories(train: DataFrame, column: str) -> list:
-    """The sorted distinct values of a categorical column."""
-    rows = fetch_if_small(train.where(F.col(column).isNotNull()).select(column).distinct())
-    if rows is None:
-        raise ValueError(f"{column} has too many distinct values to encode")
-    return sorted(r[column] for r in rows)
+def fit_categories(train: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a categorical column with their place, from 0, in ascending order: (__class, __code)."""
+    found = settled(train.where(F.col(column).isNotNull()).select(F.col(column).alias("__class")).distinct(), "categories")
+    placed = ordered_sums(found.withColumn("__one", F.lit(1)), [F.col("__class")], {"__place": "__one"})
+    return placed.select("__class", (F.col("__place") - 1).cast("int").alias("__code"))
 
 
 def one_hot(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
-    """A 0/1 column per category seen in training; an unseen value gets zeros everywhere."""
-    return df.select("*", *[F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}")
-                            for v in fit_categories(train, column)])
+    """A 0/1 column per category seen in training; an unseen value gets zeros everywhere.
+
+    The categories become column names and so pass through the driver; :func:`preprocess_chain` keeps very many of
+    them in one sparse vector.
+    """
+    seen = sorted(r["__class"] for r in fit_categories(train, column).collect())
+    return df.select("*", *[F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in seen])
 
 
 def label_encode(df: DataFrame, column: str, name: str = "label", classes: list | None = None) -> DataFrame:
-    """Sorted classes to 0..n-1; a value outside the given classes is an error."""
-    known = classes or fit_categories(df, column)
-    place = F.array_position(F.array(*[F.lit(c) for c in known]), F.col(column))
-    refuse = F.raise_error(F.concat(F.lit("unknown class "), F.col(column).cast("string"))).cast("int")
-    return df.withColumn(name, F.when(place > 0, (place - 1).cast("int")).otherwise(refuse))
+    """Sorted classes to 0..n-1; NULL, or a value outside the given classes, is an error."""
+    if classes:
+        kind = df.schema[column].dataType.simpleString()
+        known = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(classes)], f"__class {kind}, __code int")
+    else:
+        known = fit_categories(df, column)
+    refuse = F.raise_error(F.concat(F.lit("unknown class "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))).cast("int")
+    coded = df.join(broadcast_table_if_small(known), F.col(column) == F.col("__class"), "left")
+    return coded.select(*[c for c in df.columns if c != name], F.coalesce("__code", refuse).alias(name))
 
 
 def _quoted(name: str) -> str:

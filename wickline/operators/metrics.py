@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.operators.running import ROWS_PER_BUCKET, cut_points, running_totals
-from wickline.small import fetch_if_small
+from wickline.session import settled
 
 EPS = 2.220446049250313e-16  # fixed value: clipping bound of the log loss
 
@@ -27,17 +27,18 @@ def pair_counts(df: DataFrame, by: Sequence[str] = (), y: str = "y", y_pred: str
 
 
 def confusion_matrix(df: DataFrame, classes: Sequence | None = None, y: str = "y", y_pred: str = "y_pred") -> DataFrame:
-    """Every pair of classes with its count, zeros kept; rows are the truth."""
-    counts = pair_counts(df, (), y, y_pred)
+    """Every pair of classes with its count, zeros kept; rows are the truth. Rows without a class are in no pair.
+
+    The result has the square of the classes; where these are very many, ``pair_counts`` has only what occurs.
+    """
+    counts, kind = pair_counts(df, (), y, y_pred), df.schema[y].dataType.simpleString()
     if classes is None:
-        rows = fetch_if_small(counts)
-        if rows is None:
-            raise ValueError("too many class pairs for a confusion matrix")
-        counts = df.sparkSession.createDataFrame(rows, counts.schema)
-        classes = sorted({r["y"] for r in rows} | {r["y_pred"] for r in rows})
-    kind = df.schema[y].dataType.simpleString()
-    pairs = df.sparkSession.createDataFrame([(a,) for a in classes], f"y {kind}").select(
-        "y", F.explode(F.array(*[F.lit(c) for c in classes]).cast(f"array<{kind}>")).alias("y_pred"))
+        counts = settled(counts, "pairs")
+        found = counts.select(F.inline(F.array(F.struct("y"), F.struct(F.col("y_pred").alias("y"))))).where("y is not null").distinct()
+    else:
+        found = df.sparkSession.createDataFrame([(a,) for a in classes], f"y {kind}")
+    # Each class takes the list of all of them, a single row.
+    pairs = found.crossJoin(found.agg(F.collect_list("y").alias("all"))).select("y", F.explode("all").alias("y_pred"))
     return (pairs.join(counts, ["y", "y_pred"], "left")
             .select("y", "y_pred", F.coalesce("n", F.lit(0)).alias("n")))
 

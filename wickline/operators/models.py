@@ -29,8 +29,9 @@ from wickline import schemas
 from wickline.functions.hashing import hashed_uniform
 from wickline.operators.features import preprocess_chain
 from wickline.operators.metrics import overall_metrics, ranking_metrics
-from wickline.operators.resampling import SEED, poisson_bootstrap
-from wickline.small import fetch_if_small
+from wickline.operators.resampling import SEED, class_sizes, poisson_bootstrap
+from wickline.operators.running import ordered_sums
+from wickline.small import broadcast_table_if_small
 
 # Default training settings.
 ALPHA, ITERATIONS, EPOCHS, TRIALS = 1e-4, 10, 5, 3
@@ -91,24 +92,47 @@ def train_linear(train: DataFrame, val: DataFrame | None = None, alpha: float =
 
 
 def prior_baseline(train: DataFrame, df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
-    """Every row gets the class shares of the training rows; the most frequent class is predicted."""
-    rows = fetch_if_small(train.groupBy(label).agg(F.count("*").alias("n")))
+    """Every row gets the class shares of the training rows; the most frequent class is predicted, of equals the first.
+
+    The classes become column names (``p_`` and the class) and so pass through the driver; where there are very many,
+    :func:`prior_scores` gives the share of each row's own class instead.
+    """
+    rows = sorted(class_sizes(train, label).where("label is not null").collect(), key=lambda r: r["label"])
     total = sum(r["n"] for r in rows)
-    top = min(rows, key=lambda r: (-r["n"], r[label]))[label]
-    shares = [F.lit(r["n"] / total).alias(f"p_{r[label]}") for r in sorted(rows, key=lambda r: r[label])]
-    return df.select(*keys, F.col(label).alias("y"), F.lit(top).alias("y_pred"), *shares)
+    top = min(rows, key=lambda r: (-r["n"], r["label"]))["label"] if rows else None
+    shares = [F.lit(r["n"] / total).alias(f"p_{r['label']}") for r in rows]
+    return df.select(*keys, F.col(label).alias("y"), F.lit(top).cast(df.schema[label].dataType).alias("y_pred"), *shares)
+
+
+def prior_scores(train: DataFrame, df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """The prior baseline for any number of classes: the predicted class and the share of each row's own class, ``p_true``."""
+    sizes = class_sizes(train, label).where("label is not null")
+    one = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    top = sizes.where(F.col("n") == F.lit(one["most"])).agg(F.min("label")).first()[0]
+    shares = sizes.select(F.col("label").alias("__label"), (F.col("n") / F.lit(one["total"])).alias("__share"))
+    return df.join(broadcast_table_if_small(shares), F.col(label) == F.col("__label"), "left").select(
+        *keys, F.col(label).alias("y"), F.lit(top).cast(df.schema[label].dataType).alias("y_pred"),
+        F.coalesce("__share", F.lit(0.0)).alias("p_true"))
 
 
 def stratified_baseline(train: DataFrame, df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
-    """Every row draws a class at random with the training shares; the draw is a hash of the key."""
-    rows = sorted(fetch_if_small(train.groupBy(label).agg(F.count("*").alias("n"))), key=lambda r: r[label])
-    total, upto, drawn, u = sum(r["n"] for r in rows), 0, None, hashed_uniform(seed, F.col(key))
-    for r in rows[:-1]:
-        upto += r["n"]
-        test = u < F.lit(upto / total)
-        drawn = F.when(test, F.lit(r[label])) if drawn is None else drawn.when(test, F.lit(r[label]))
-    last = F.lit(rows[-1][label])
-    return df.select(key, F.col(label).alias("y"), (last if drawn is None else drawn.otherwise(last)).alias("y_pred"))
+    """Every row draws a class at random with the training shares; the draw is a hash of the key.
+
+    Each class owns a stretch of 0 to 1. Both sides meet in equal cells of it, so any number of classes costs one join.
+    """
+    sizes = class_sizes(train, label).where("label is not null")
+    one = sizes.agg(F.sum("n").alias("total"), F.count("*").alias("classes")).first()
+    total, cells = one["total"] or 1, max(one["classes"], 1)
+    cell = lambda u: F.least(F.floor(u * cells), F.lit(cells - 1)).cast("int")
+    upto = ordered_sums(sizes, [F.col("label")], {"upto": "n"})
+    stretches = upto.select(
+        F.col("label").alias("__label"), ((F.col("upto") - F.col("n")) / F.lit(total)).alias("__low"),
+        F.when(F.col("upto") < total, F.col("upto") / F.lit(total)).otherwise(F.lit(math.inf)).alias("__high"))
+    dealt = stretches.withColumn("__cell", F.explode(F.sequence(cell(F.col("__low")), cell(F.least("__high", F.lit(1.0))))))
+    drawn = df.withColumn("__u", hashed_uniform(seed, F.col(key))).withColumn("__cell", cell(F.col("__u")))
+    own = (F.col("a.__cell") == F.col("b.__cell")) & (F.col("__u") >= F.col("__low")) & (F.col("__u") < F.col("__high"))
+    return drawn.alias("a").join(broadcast_table_if_small(dealt).alias("b"), own, "left").select(
+        f"a.{key}", F.col(f"a.{label}").alias("y"), F.col("__label").alias("y_pred"))
 
 
 # The candidate models of the spot check (the nearest-neighbour one is knn_classify with k = 8).

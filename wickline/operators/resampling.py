@@ -13,48 +13,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.functions.hashing import hashed_int, hashed_uniform, keyed_md5, leading_int, poisson_weight, shuffle_key
-from wickline.operators.running import hash_cut_values, hash_ranked
-from wickline.small import fetch_if_small
+from wickline.operators.running import hash_cut_values, hash_ranked, leading_digits, ordered_sums
+from wickline.session import settled
+from wickline.small import broadcast_table_if_small
 
 SEED = 1992
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    rows = fetch_if_small(df.groupBy(label).agg(F.count("*").alias("n")))
-    if rows is None:
-        raise ValueError("too many classes to stratify by")
-    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: (r[label] is not None, r[label]))}
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """Rows (label, n) of the classes, NULL among them, as a written table."""
+    return settled(df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")), "class-sizes")
 
 
-def apportion(sizes: dict, total: int) -> dict:
-    """Share ``total`` among classes by size: floors first, then the largest remainders."""
-    whole = sum(sizes.values())
+def apportion(sizes: DataFrame, size: str, total: int, name: str) -> DataFrame:
+    """Share ``total`` among the classes by ``size``: floors first, then the largest remainders, equal ones in class order."""
+    whole = sizes.agg(F.sum(size)).first()[0] or 0
     if whole == 0:
-        return {k: 0 for k in sizes}
-    shares = {k: n * total // whole for k, n in sizes.items()}
-    by_rest = sorted(sizes, key=lambda k: -(sizes[k] * total % whole))
-    for k in by_rest[: total - sum(shares.values())]:
-        shares[k] += 1
-    return shares
+        return sizes.withColumn(name, F.lit(0).cast("bigint"))
+    product = f"cast(`{size}` as decimal(19,0)) * cast({total} as decimal(19,0))"
+    shares = sizes.withColumns({
+        name: F.expr(f"cast({product} div cast({whole} as decimal(19,0)) as bigint)"),
+        "__rest": F.expr(f"{product} % cast({whole} as decimal(19,0))"), "__one": F.lit(1)})
+    left = total - shares.agg(F.sum(name)).first()[0]
+    ranked = ordered_sums(shares, [F.col("__rest").desc(), F.col("label").asc_nulls_first()], {"__place": "__one"})
+    return ranked.withColumn(name, F.col(name) + (F.col("__place") <= left).cast("bigint")).drop("__rest", "__one", "__place")
 
 
-def label_by_cuts(df: DataFrame, label: str, shuffle: Column, ranks: dict, values: Sequence[object],
+def label_by_cuts(df: DataFrame, label: str, shuffle: Column, ranks: DataFrame, values: Sequence[object],
                   name: str) -> DataFrame:
     """Give each row the value of the stretch of its class's hash order it lies in.
 
-    ``ranks`` holds ascending end ranks per class, one fewer than there are values.
+    ``ranks`` has a row (label, slot, rank) for the end rank of each stretch but the last, slots ascending from 0.
     """
-    cuts = hash_cut_values(df, label, shuffle, ranks)
-    kind = df.schema[label].dataType.simpleString()
     slots = len(values) - 1
-    table = df.sparkSession.createDataFrame(
-        [(k, *c) for k, c in cuts.items()],
-        f"__label {kind}, " + ", ".join(f"__cut{i} string" for i in range(slots)))
+    found = hash_cut_values(df, label, shuffle, ranks)
+    table = found.groupBy(F.col("label").alias("__label")).agg(
+        *[F.max(F.when(F.col("slot") == i, F.col("order"))).alias(f"__cut{i}") for i in range(slots)])
     order = F.col("__order")
     chosen = F.lit(values[-1])
     for i in reversed(range(slots)):
         chosen = F.when(order <= F.col(f"__cut{i}"), F.lit(values[i])).otherwise(chosen)
-    joined = df.withColumn("__order", shuffle).join(F.broadcast(table), F.col(label).eqNullSafe(F.col("__label")))
+    joined = df.withColumn("__order", shuffle).join(
+        broadcast_table_if_small(table), F.col(label).eqNullSafe(F.col("__label")), "left")
     return joined.select(*df.columns, chosen.alias(name))
 
 
@@ -62,12 +62,11 @@ def stratified_split(df: DataFrame, key: str, label: str, train: float = 0.7, va
                      seed: int = SEED, name: str = "split") -> DataFrame:
     """Add ``split``: train, then val and test from the rest, class shares exact to one row."""
     sizes = class_sizes(df, label)
-    n = sum(sizes.values())
+    n = sizes.agg(F.sum("n")).first()[0] or 0
     n_train = int(n * train + 1e-9)
-    first = apportion(sizes, n_train)
-    rest = {k: sizes[k] - first[k] for k in sizes}
-    second = apportion(rest, int((n - n_train) * val + 1e-9))
-    ranks = {k: [first[k], first[k] + second[k]] for k in sizes}
+    first = apportion(sizes, "n", n_train, "first").withColumn("rest", F.col("n") - F.col("first"))
+    both = apportion(first, "rest", int((n - n_train) * val + 1e-9), "second")
+    ranks = settled(both.select("label", F.posexplode(F.array("first", F.col("first") + F.col("second"))).alias("slot", "rank")), "ranks")
     return label_by_cuts(df, label, shuffle_key(seed, F.col(key)), ranks, ["train", "val", "test"], name)
 
 
@@ -114,20 +113,18 @@ def poisson_bootstrap(df: DataFrame, key: str, round_no: int, seed: int = 42, na
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int = SEED,
                      name: str = "fold") -> DataFrame:
     """Fold 1..k with class sizes equal to one row."""
-    ranks = {}
-    for value, n in class_sizes(df, label).items():
-        sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-        ranks[value] = [sum(sizes[: i + 1]) for i in range(k - 1)]
+    ends = [F.expr(f"{i} * (n div {k}) + least({i}L, n % {k})") for i in range(1, k)]
+    ranks = class_sizes(df, label).select("label", F.posexplode(F.array(*ends)).alias("slot", "rank"))
     return label_by_cuts(df, label, shuffle_key(seed, F.col(key)), ranks, list(range(1, k + 1)), name)
 
 
 def group_folds(df: DataFrame, group: str, positive: Column, k: int = 6, seed: int = SEED,
                 name: str = "fold") -> DataFrame:
     """Fold of every group: groups in order of positive share (in percent steps), dealt out in turn."""
-    groups = df.groupBy(group).agg(F.count("*").alias("rows"), F.count_if(positive).alias("positives"))
+    groups = settled(df.groupBy(group).agg(F.count("*").alias("rows"), F.count_if(positive).alias("positives")), "groups")
     step = 100 - F.floor(F.col("positives") * 100 / F.col("rows"))
     order = F.concat(F.lpad(step.cast("string"), 3, "0"), shuffle_key(seed, F.col(group)))
-    ranked = hash_ranked(groups, order, digits=3 + 3, name="__rank")  # the share step, then the hash
+    ranked = hash_ranked(groups, order, digits=3 + leading_digits(groups.count()), name="__rank")  # the share step, then the hash
     return ranked.withColumn(name, ((F.col("__rank") - 1) % k + 1).cast("int")).drop("__rank")
 
 

@@ -16,8 +16,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wickline.session import settled
+from wickline.small import broadcast_table_if_small
+
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
+#: Borders that one sketch of the whole table gives; more come from sketches of the ranges between these.
+FIRST_BORDERS = 1_000
 
 
 def _equal_on(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -52,18 +56,29 @@ def hash_ranked(df: DataFrame, shuffle: Column, within: Sequence[str] = (), digi
                     (F.col("a.__i") + F.col("b.__before")).alias(name)))
 
 
-def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+def _even_borders(column: str, parts: int) -> Column:
+    fractions = ", ".join(f"{i}D / {parts}D" for i in range(1, parts))
+    name = column.replace("`", "``")
+    return F.expr(f"percentile_approx(cast(`{name}` as double), array({fractions}), {4 * parts})")
+
+
+def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+               first_borders: int = FIRST_BORDERS) -> list[float]:
     """Inner borders of equally filled value ranges; empty when one bucket is enough.
 
-    A count decides whether borders are needed at all; they come from one quantile sketch of fixed size.
+    A count decides whether borders are needed at all. They come from one quantile sketch and, where more than
+    ``first_borders`` ranges are wanted, from a sketch within each of its ranges.
     """
-    wanted = min(MAX_BUCKETS, -(-df.count() // rows_per_bucket))
+    wanted = -(-df.count() // rows_per_bucket)
     if wanted <= 1:
         return []
-    fractions = ", ".join(f"{i}D / {wanted}D" for i in range(1, wanted))
-    name = column.replace("`", "``")
-    sketch = df.agg(F.expr(f"percentile_approx(cast(`{name}` as double), array({fractions}), {4 * wanted})")).first()[0]
-    return sorted(set(sketch or []))
+    cuts = sorted(set(df.agg(_even_borders(column, min(wanted, first_borders))).first()[0] or []))
+    finer = -(-wanted // first_borders)
+    if finer > 1:
+        values = df.select(F.col(column).cast("double").alias("value")).where("value is not null and not isnan(value)")
+        within = with_bucket(values, "value", cuts).groupBy("__bucket").agg(_even_borders("value", finer).alias("cuts"))
+        cuts = sorted({*cuts, *(c for r in within.collect() for c in r["cuts"])})
+    return cuts
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = "__bucket") -> DataFrame:
@@ -107,6 +122,26 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, str], within: Sequ
                     *[(F.col(f"a.{n}") + F.col(f"b.{n}")).alias(n) for n in sums]))
 
 
+def ordered_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
+                 rows_per_range: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add inclusive running sums along columns of any type, whose values together are distinct.
+
+    A table that fits one task is summed there. A larger one is written in ranges of the order, and each range
+    starts from the sums of those before it.
+    """
+    along = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranges = -(-df.count() // rows_per_range)
+    if ranges <= 1:
+        return df.select("*", *[F.sum(c).over(along).alias(n) for n, c in sums.items()])
+    split = settled(df.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    totals = split.groupBy("__range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__{n}") for n in sums])
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = split.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()])
+    return local.join(offsets, "__range").select(*df.columns, *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in sums])
+
+
 def next_values(df: DataFrame, order: str, columns: dict[str, str], within: Sequence[str] = (),
                 cuts: Sequence[float] = (), descending: bool = False) -> DataFrame:
     """Add columns of the following row along ``order``; NULL on the last one.
@@ -241,33 +276,26 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
         for i in range(len(fractions))])
 
 
-def hash_cut_values(df: DataFrame, label: str, shuffle: Column, ranks: dict, digits: int | None = None) -> dict:
-    """The hash text found at given 1-based ranks of each label's hash order.
+def hash_cut_values(df: DataFrame, label: str, shuffle: Column, ranks: DataFrame, digits: int | None = None) -> DataFrame:
+    """The hash text (label, slot, order) found at given 1-based ranks of each label's hash order.
 
-    ``ranks`` maps a label to its list of ranks. Counts per leading digits find the part that holds a
-    rank; only those few parts are read again and sorted. Rank 0 gives the empty text.
+    ``ranks`` has a row (label, slot, rank) for each wanted rank; ranks of 0 and below give none. NULL is a label
+    like any other. Counts per leading digits find the part that holds a rank; only those few parts are read
+    again and sorted.
     """
-    spark = df.sparkSession
-    digits = digits or leading_digits(max([r for rs in ranks.values() for r in rs], default=1))
+    wanted = ranks.where("rank > 0")
+    digits = digits or leading_digits(wanted.agg(F.max("rank")).first()[0] or 1)
     keyed = df.select(F.col(label).alias("label"), shuffle.alias("order"))
     keyed = keyed.withColumn("part", F.substring("order", 1, digits))
     sizes = keyed.groupBy("label", "part").agg(F.count("*").alias("n"))
     along = Window.partitionBy("label").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     upto = sizes.withColumn("upto", F.sum("n").over(along))
-    kind = df.schema[label].dataType.simpleString()
-    wanted = spark.createDataFrame(
-        [(k, i, r) for k, rs in ranks.items() for i, r in enumerate(rs) if r > 0],
-        f"label {kind}, slot int, rank bigint")
     inside = (F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto"))
-    places = (upto.join(F.broadcast(wanted), "label").where(inside)
-              .select("label", "part", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")).collect())
-    found = {k: [""] * len(rs) for k, rs in ranks.items()}
-    if not places:
-        return found
-    spots = spark.createDataFrame(places, f"label {kind}, part string, slot int, rank bigint")
-    near = keyed.join(F.broadcast(spots.select("label", "part").distinct()), ["label", "part"])
+    spots = settled(upto.alias("a").join(broadcast_table_if_small(wanted).alias("b"), _equal_on("a", "b", ["label"])).where(inside)
+                    .select("a.label", "part", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")), "spots")
+    parts = spots.groupBy("label", "part").agg(F.collect_list(F.struct("slot", "rank")).alias("ranks"))
+    near = keyed.alias("a").join(broadcast_table_if_small(parts).alias("b"), _equal_on("a", "b", ["label", "part"])).select(
+        "a.*", "b.ranks")
     numbered = near.withColumn("i", F.row_number().over(Window.partitionBy("label", "part").orderBy("order")))
-    hits = numbered.join(F.broadcast(spots), ["label", "part"]).where(F.col("i") == F.col("rank"))
-    for row in hits.select("label", "slot", "order").collect():
-        found[row["label"]][row["slot"]] = row["order"]
-    return found
+    hits = numbered.select("label", "order", F.explode(F.filter("ranks", lambda r: r["rank"] == F.col("i"))).alias("r"))
+    return settled(hits.select("label", "r.slot", "order"), "cuts")
