@@ -57,9 +57,9 @@ def q_stratified_baseline(spark, sf):
 
 
 def q_spot_check(spark, sf):
-    df = folded(spark, sf)
-    out = models.oof_predictions(df, [1, 2, 3, 4, 5], models.model_zoo(), keys=["key"])
-    return d.rounded(metrics.accuracy(out, ["model"]))
+    rows = settled(d.numbered_klines(spark, sf), "klines")
+    df = settled(resampling.stratified_kfold(rows, "id", schemas.TARGET), "folded")
+    return d.rounded(metrics.accuracy(models.spot_check(df, [1, 2, 3, 4, 5], key="id"), ["model"]))
 
 
 def q_oof_predictions(spark, sf):
@@ -88,7 +88,7 @@ def q_trials_table(spark, sf):
     """The stored form of the trials: number, parameter map, metrics."""
     train, val, _ = parts(spark, sf)
     path = fresh_path(spark, "trials")
-    models.tune(train, val, n_trials=2)[0].write.parquet(path)
+    models.tune(train, val)[0].write.parquet(path)
     stored = spark.read.parquet(path)
     return d.rounded(stored.select("trial", "loss_rank", F.explode("params").alias("param", "setting"), "val_loss", "val_accuracy"), 9)
 

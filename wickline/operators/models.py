@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.functions.hashing import hashed_uniform
-from wickline.operators.features import preprocess_chain
+from wickline.operators.features import numeric_stage, preprocess_chain
 from wickline.operators.metrics import overall_metrics, ranking_metrics
+from wickline.operators.neighbours import knn_classify
 from wickline.operators.resampling import SEED, class_sizes, poisson_bootstrap
 from wickline.operators.running import ordered_sums
 from wickline.small import broadcast_table_if_small
@@ -135,7 +136,7 @@ def stratified_baseline(train: DataFrame, df: DataFrame, label: str, key: str, s
         f"a.{key}", F.col(f"a.{label}").alias("y"), F.col("__label").alias("y_pred"))
 
 
-# The candidate models of the spot check (the nearest-neighbour one is knn_classify with k = 8).
+# The fitted candidates of the spot check, which adds the stratified draw and the neighbours.
 def model_zoo(label: str = schemas.TARGET, seed: int = SEED) -> dict[str, Estimator]:
     common = {"featuresCol": "features", "labelCol": label}
     return {
@@ -170,6 +171,23 @@ def oof_predictions(df: DataFrame, folds: Sequence[int], models: dict[str, Estim
     return reduce(DataFrame.unionByName, parts)
 
 
+def spot_check(df: DataFrame, folds: Sequence[int], label: str = schemas.TARGET, key: str = "key",
+               numeric: Sequence[str] = tuple(schemas.FEATURES), k: int = 8, fold_column: str = "fold") -> DataFrame:
+    """Out-of-fold predictions (model, fold, key, y, y_pred) of all candidates: the fitted ones, the stratified draw and
+    the ``k`` nearest neighbours in scaled features. Keys are whole numbers."""
+    columns, scaled = ["model", fold_column, key, "y", "y_pred"], [f"{c}_scaled" for c in numeric]
+    parts = [oof_predictions(df, folds, model_zoo(label), label, [key], numeric).select(*columns)]
+    for fold in folds:
+        train, held = df.where(F.col(fold_column) != fold), df.where(F.col(fold_column) == fold)
+        stage = numeric_stage(train, numeric)
+        near = knn_classify(stage.transform(held), stage.transform(train), key, scaled, label, scaled[0], k)
+        near = held.select(key, F.col(label).alias("y")).join(near, key, "left")
+        for name, found in (("stratified", stratified_baseline(train, held, label, key)), ("neighbours", near)):
+            parts.append(found.select(F.lit(name).alias("model"), F.lit(fold).alias(fold_column), key,
+                                      F.col("y").cast("int").alias("y"), F.col("y_pred").cast("int").alias("y_pred")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cross_validation(df: DataFrame, folds: Sequence[int], models: dict[str, Estimator], metric: Column,
                      **options) -> DataFrame:
     """Score per model and fold."""
