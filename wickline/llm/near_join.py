@@ -25,7 +25,7 @@ CHUNKS, WIDTH, VALUES = 7, 5, 128
 INDEXED = CHUNKS * WIDTH
 #: Pairs that differ in more values are not compared: at 0.85 that happens with a chance of one in a million.
 FURTHEST = 40
-#: Rounds in which each document is compared with the nearest one outside its component, before all pairs are.
+#: Rounds in which documents are compared with the nearest one outside their component, before all pairs are.
 NEAREST_ROUNDS = 2
 #: Ids are broadcast up to so many (8 MB), else joined by a shuffle.
 MOST_BROADCAST = 500_000
@@ -94,36 +94,39 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of one key and cell that lie in different components and whose signatures and sizes are near.
+    """Pairs of an asking and a held row of one key and cell that lie in different components and whose signatures and
+    sizes are near.
 
-    With ``nearest`` each row gives its nearest one, else every pair comes once, from the first key that it shares.
+    With ``nearest`` each asking row gives its nearest one, else every pair comes once, from the first key that it shares.
     """
     for group in groups_of(batches, ["key", "cell"]):
         key, cell = group.column("key").to_numpy(), group.column("cell").to_numpy()
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
-        rep, comp, size, side = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "side"))
+        rep, comp, size = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
+        asks, apart_from_main = (group.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "apart_from_main"))
         rows = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
         found: list[tuple[np.ndarray, ...]] = []
         for a, b in zip(starts, [*starts[1:], len(key)]):
-            if comp[a:b].min() == comp[a:b].max():
+            asking, held = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
+            if not len(asking) or not len(held):
                 continue
-            keys = None if nearest else chunk_keys(rows[a:b])
-            for i in range(a, b):
-                other = np.arange(a if nearest else i + 1, b)
-                # A cell of two blocks compares the first with the second, a cell of one block all its rows.
-                other = other[(comp[other] != comp[i]) & ((side[other] != side[i]) | (side[i] == 2)) & (
-                    100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i]))]
+            against, keys = rows[held], None if nearest else chunk_keys(rows[held])
+            for i in asking:
+                fits = (comp[held] != comp[i]) & (100 * np.minimum(size[held], size[i]) >= percent * np.maximum(size[held], size[i]))
+                if not nearest:  # Two rows that both ask meet twice.
+                    fits &= ~apart_from_main[held] | (rep[held] > rep[i])
+                other = np.flatnonzero(fits)
                 if len(other):
-                    apart = (rows[other] != rows[i]).sum(axis=1)
+                    apart = (against[other] != rows[i]).sum(axis=1)
                     if nearest:
                         best = int(apart.argmin())
                         other, apart = other[best: best + 1], apart[best: best + 1]
                     other, apart = other[apart <= FURTHEST], apart[apart <= FURTHEST]
                     if not nearest and len(other):
-                        shared = keys[other - a] == keys[i - a]
-                        first = keys[i - a][shared.argmax(axis=1)].view(np.int64) == key[i]
+                        own = chunk_keys(rows[i: i + 1])[0]
+                        first = own[(keys[other] == own).argmax(axis=1)].view(np.int64) == key[i]
                         other, apart = other[first], apart[first]
-                    found.append((np.full(len(other), rep[i]), rep[other], apart))
+                    found.append((np.full(len(other), rep[i]), rep[held[other]], apart))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], names=["a", "b", "apart"])
 
@@ -137,18 +140,33 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return settled(both.where(100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)).select("a", "b"), "links")
 
 
-def _cells(members: DataFrame, placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of the keys whose members lie in several components; keys of many rows are cut into cells of two blocks."""
+def _cells(members: DataFrame, placed: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
+    """Rows of the keys whose members lie in several components, as those that ask and those that are held.
+
+    The members outside the key's largest component ask, all are held, so a key of g members of which m are not in it
+    costs m x g comparisons. With ``nearest`` a row asks in its largest key only. Either side is cut into blocks,
+    and a cell holds a block of each.
+    """
     rows = members.join(placed, "rep", "left").select("key", "rep", "size", F.coalesce("component", "rep").alias("component"))
-    split = settled(rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high"), "split")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.join(split.select("key"), "key").join(classes.select("rep", "n_shingles", "signature"), "rep").withColumn(
-        "blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return dealt.select(
-        "key", "rep", "component", "n_shingles", "signature",
-        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"),
-        F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side")).repartition(
+    split = settled(rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("size")).where("top.n < size").select(
+        "key", F.col("top.component").alias("main")), "split")
+    asks = rows.join(split, "key").where("component <> main").select("key", "rep", "size", "component")
+    if nearest:
+        asks = asks.groupBy("rep").agg(F.max(F.struct("size", "key", "component")).alias("x")).select("rep", "x.*")
+    asks = settled(asks, "asks")
+    parts = settled(asks.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts")).join(split, "key"), "parts")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), n)
+    range_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    cell = (F.col("part") * blocks + F.col("block")).alias("cell")
+    held = rows.join(parts, "key").select(
+        "*", range_of(F.col("parts")).alias("part"), dealt(blocks).alias("block")).select(
+        "key", cell, "rep", "component", F.lit(False).alias("asks"), (F.col("component") != F.col("main")).alias("apart_from_main"))
+    asking = asks.join(parts, "key").select(
+        "*", range_of(blocks).alias("block"), dealt(F.col("parts")).alias("part")).select(
+        "key", cell, "rep", "component", F.lit(True).alias("asks"), F.lit(True).alias("apart_from_main"))
+    return held.unionByName(asking).join(classes.select("rep", "n_shingles", "signature"), "rep").repartition(
         "key", "cell").sortWithinPartitions("key", "cell")
 
 
@@ -161,9 +179,9 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     repeated rows are one node (an id is taken to name one text); other columns are ignored; an empty table gives
     an empty result.
 
-    Equal sets are one class first, so copies never meet as pairs. Each class is then compared with the first
-    member of each of its keys, and in further rounds with the nearest one that its component does not hold yet.
-    Where the members of a key are still in several components, all pairs between these follow that are near
+    Equal sets are one class first, so copies never meet as pairs. Each class is then compared with one first member
+    of its keys, that of most of them, and in further rounds with the nearest one that its component does not hold
+    yet. Where the members of a key are still in several components, all pairs between these follow that are near
     enough, in blocks. So a group of g near copies costs about g comparisons, and no link is left out
     unless its ends are already connected.
     """
@@ -187,11 +205,12 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = settled(docs.join(asked, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>").dropDuplicates(
         ["doc_id"]).withColumnRenamed("doc_id", "rep"), "sets")
 
-    links = [_confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")), sets, percent)]
-    groups = members.where("size > 2").select("key", "rep", "size")
+    most = members.where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("n")).groupBy("rep").agg(
+        F.max(F.struct("n", (-F.col("pivot")).alias("before"))).alias("m"))
+    links = [_confirm(most.select((-F.col("m.before")).alias("a"), F.col("rep").alias("b")), sets, percent)]
+    groups = members.select("key", "rep", "size")
     for turn in range(NEAREST_ROUNDS + 1):
-        placed = _placed(links)
-        near = _cells(groups, placed, classes).mapInArrow(
+        near = _cells(groups, _placed(links), classes, turn < NEAREST_ROUNDS).mapInArrow(
             partial(_across, nearest=turn < NEAREST_ROUNDS, percent=percent), "a long, b long, apart long")
         if turn < NEAREST_ROUNDS:
             near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("n")).select("a", "n.b")
