@@ -33,8 +33,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without their whole characters inside byte strings of 400 that occur more than once."""
-    return remove_repeats(docs, 400, whole_characters=True, keep=True)
+    """All documents without passages of more than 50 words, and whole characters inside byte strings of 400, that occur
+    more than once."""
+    return remove_repeats(docs, 400, whole_characters=True, keep=True, words=51)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wickline.llm import near_join, suffix_dedup
 from wickline.llm.components import components
 from wickline.llm.decontaminate import fingerprint, leaks
@@ -148,6 +149,45 @@ def test_column_wise_order_finds_windows_of_one_group_only():
             assert flags[i, p] == any(j != i and group[j] == group[i] and u[p:p + 5] == t[p:p + 5] for j, u in enumerate(texts))
 
 
+def brute_passages(texts, words):
+    """The texts without windows of so many words, with or without outer marks, that occur at another place."""
+    places = [[] for _ in texts]
+    for i, t in enumerate(texts):
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        inner = [(a + (m.start() if (m := re.search(rb"[A-Za-z0-9\x00-\x1f\x7f-\xff]", t[a:b])) else 0),
+                  a + (len(t[a:b].rstrip(MARKS)) or b - a)) for a, b in spans]
+        for k in range(len(spans) - words + 1):
+            last = k + words - 1
+            places[i] += {(a, b) for a in (spans[k][0], inner[k][0]) for b in (spans[last][1], inner[last][1])}
+    counts = Counter(t[a:b] for t, found in zip(texts, places) for a, b in found)
+    out = []
+    for t, found in zip(texts, places):
+        gone = bytearray(len(t))
+        for a, b in found:
+            if counts[t[a:b]] > 1:
+                gone[a:b] = b"\1" * (b - a)
+        out.append(bytes(c for c, g in zip(t, gone) if not g))
+    return out
+
+
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
+
+def test_pipeline_removes_passages_of_more_than_fifty_words(spark):
+    rng = random.Random(4)
+    filler = iter(range(10 ** 6))
+    fresh = lambda n: " ".join(f"q{next(filler)}" for _ in range(n))
+    passages = {n: " ".join(rng.choice(["a", "of", "the", "tree", "river", "ü"]) for _ in range(n)) for n in (50, 51, 52, 55, 60)}
+    assert all(len(p.encode()) < 400 for p in passages.values())
+    texts = [f"{fresh(30)} {p} {fresh(20)}" for p in passages.values() for _ in range(3)]
+    texts += [f"{fresh(5)} (\"{passages[51]}.\") {fresh(5)}", passages[55], "", "- " * 60, f"{fresh(9)} {'x ' * 120}", None, "ab\n" * 51]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()}
+    want = brute_passages([(t or "").encode() for t in texts], 51)
+    assert {i: (t or "").encode() for i, t in got.items()} == dict(enumerate(want)) and got[len(texts) - 2] is None
+    assert all(passages[50] in got[i] for i in range(3)) and not any(p in got[i] for i in got for n, p in passages.items() if n > 50 and got[i])
+
+
 def brute_leaks(docs, items, least):
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}

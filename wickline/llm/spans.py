@@ -12,6 +12,7 @@ BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 CHUNK = 1 << 20
 SHINGLE = 5
+LOW_BITS = np.uint64((1 << 21) - 1)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -68,6 +69,18 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * down[start])
 
 
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` values: where the least one is, the first of equals in their upper 43 bits."""
+    marked = (values & ~LOW_BITS) | np.arange(len(values), dtype=np.uint64)
+    span = 1
+    while span * 2 <= width:
+        marked = np.minimum(marked[:-span], marked[span:])
+        span *= 2
+    if span < width:
+        marked = np.minimum(marked[: len(marked) - (width - span)], marked[width - span:])
+    return (marked & LOW_BITS).astype(np.int64)
+
+
 def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive documents of about CHUNK bytes together: index of the first one, documents."""
     first, size, held = 0, 0, []

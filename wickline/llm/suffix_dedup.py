@@ -25,25 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm.spans import CHUNK, discard, groups_of, mix, prefix_sums, small_batches, span_hashes, texts_of
+from wickline.llm.passages import repeated_passages
+from wickline.llm.spans import CHUNK, discard, groups_of, mix, prefix_sums, sliding_least, small_batches, span_hashes, texts_of
 from wickline.session import settled
 
 ANCHOR = 100
 #: Strings of one anchor that one task sorts; the windows of a commoner anchor are counted one by one.
 MOST_STRINGS = 20_000
-LOW_BITS = np.uint64((1 << 21) - 1)
-
-
-def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window of ``width`` values: where the least one is, the first of equals in their upper 43 bits."""
-    marked = (values & ~LOW_BITS) | np.arange(len(values), dtype=np.uint64)
-    span = 1
-    while span * 2 <= width:
-        marked = np.minimum(marked[:-span], marked[span:])
-        span *= 2
-    if span < width:
-        marked = np.minimum(marked[: len(marked) - (width - span)], marked[width - span:])
-    return (marked & LOW_BITS).astype(np.int64)
 
 
 def contexts(buffer: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -51,7 +39,7 @@ def contexts(buffer: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nda
     sums = prefix_sums(buffer)
     grams = np.arange(len(buffer) - ANCHOR + 1)
     values = span_hashes(sums, grams, grams + ANCHOR)
-    anchor = _sliding_least(values, width - ANCHOR + 1)[starts]
+    anchor = sliding_least(values, width - ANCHOR + 1)[starts]
     new = np.r_[True, (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)]
     first = starts[new]
     count = np.diff(np.r_[np.flatnonzero(new), len(starts)])
@@ -223,7 +211,7 @@ def _inside(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False, keep: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False, keep: bool = False, words: int | None = None) -> DataFrame:
     """``doc_id`` and ``text`` of each row with kept_bytes, n_bytes, n_removed, n_spans and kept_sha256.
 
     A byte is removed when a string of ``width`` bytes (more than 100) that covers it also begins at another
@@ -231,7 +219,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     ``width`` stay whole; repeated rows repeat each other's text, and so lose it. Ids may be null or repeat; other
     columns are left out; an empty table gives an empty result. With ``whole_characters`` a character
     stays unless all its bytes are to go, so what is kept is UTF-8. With ``keep`` the result is ``docs``, all its
-    columns, with what is kept as ``text`` and its length as ``n_chars`` where there is such a column.
+    columns, with what is kept as ``text`` and its length as ``n_chars`` where there is such a column. With ``words``
+    the bytes of repeated passages of so many words or more are removed as well, however few bytes they have.
     """
     if not ANCHOR < width < 2000:
         raise ValueError(f"width must lie between {ANCHOR} and 2000")
@@ -269,6 +258,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     repeats = copies.union(near)
     if counted:
         repeats = repeats.union(_window_counts(cut.join(common, "gram", "left_semi"), width))
+    if words is not None:
+        repeats = repeats.union(repeated_passages(texts, words))
     spans = repeats.groupBy("row_a", "row_b").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     out = texts.join(spans, ["row_a", "row_b"], "left").mapInArrow(
         partial(_cut, whole_characters=whole_characters),
