@@ -21,8 +21,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies."""
-    kept = near_components(docs, 85).where("kept").select("doc_id").distinct()
+    """One document, the one with the smallest id, of each group of near copies, linked at 80 of 100."""
+    kept = near_components(docs, 80).where("kept").select("doc_id").distinct()
     # Rows that repeat an id are copies as well: one of them stays. Null ids link with nothing.
     ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     repeated = docs.join(ids.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -53,7 +53,7 @@ def sets_of(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = {i: sets_of(t) for i, t in rows if i is not None}
     parent = {i: i for i in sets}
 
@@ -64,7 +64,7 @@ def brute_components(rows):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
@@ -84,6 +84,24 @@ def test_near_components_equal_brute_force(spark, rows, monkeypatch, block):
     assert len({c for _, c, _ in want.values()}) < len(want) - 20
 
 
+def test_near_dedup_stage_links_at_80(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        base = text_of(rng, 200)
+        texts += [base, *(edited(rng, base, k) for k in (3, 4, 5))]
+    pairs = list(enumerate(texts))
+    want, stricter = brute_components(pairs, 80), brute_components(pairs, 85)
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_components(docs, 80).collect()}
+    assert got == want and {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {i for i, w in want.items() if w[2]}
+    assert sum(w[2] for w in want.values()) + 5 < sum(w[2] for w in stricter.values())
+
+
+def test_keys_and_distance_follow_the_percent():
+    assert near_join.reach(80) == (10, 48) and near_join.reach(85) == near_join.reach(95) == (near_join.CHUNKS, 40)
+
+
 def test_near_components_of_an_empty_table(spark):
     assert near_components(docs_of(spark, [(1, "a")]).limit(0)).count() == 0
     with pytest.raises(ValueError):

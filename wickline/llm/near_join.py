@@ -3,14 +3,16 @@
 A signature is 128 MinHash values of 16 bits. The first 35 are cut into 7 chunks of 5. Two signatures that differ
 in at most 13 of these have a chunk that differs in at most one (pigeonhole: 7 chunks x 2 errors = 14), so of the
 keys that leave out one value of one chunk they share at least one. Pairs at Jaccard 0.85 have no such chunk with a
-chance of about 4 in a million. All 128 values then tell which pairs are near enough to be compared, and every
-link is confirmed on the full shingle sets.
+chance of about 4 in a million. For a lower similarity there are as many chunks as that chance needs: 10 at 0.80.
+All 128 values then tell which pairs are near enough to be compared, and every link is confirmed on the full
+shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial, reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,8 @@ from wickline.session import settled
 
 CHUNKS, WIDTH, VALUES = 7, 5, 128
 INDEXED = CHUNKS * WIDTH
-#: Pairs that differ in more values are not compared: at 0.85 that happens with a chance of one in a million.
-FURTHEST = 40
+#: The least similarity in percent, and the chances that a pair at the wanted one has no common key or is too far apart.
+LEAST_PERCENT, MOST_WITHOUT_KEY, MOST_APART = 80, 4e-6, 1.5e-6
 #: Rounds in which documents are compared with the nearest one outside their component, before all pairs are.
 NEAREST_ROUNDS = 2
 #: Ids are broadcast up to so many (8 MB), else joined by a shuffle.
@@ -33,6 +35,18 @@ MOST_BROADCAST = 500_000
 BLOCK = 2000
 
 
+def reach(percent: int) -> tuple[int, int]:
+    """Chunks that are indexed for a similarity, and the values in which pairs that are compared differ at most.
+
+    These are 7 and 40 from 85 on, 10 and 48 at 80.
+    """
+    same = min(percent, 85) / 100
+    without = 1 - same ** WIDTH - WIDTH * same ** (WIDTH - 1) * (1 - same)
+    n = next(n for n in range(CHUNKS, VALUES // WIDTH + 1) if without ** n <= MOST_WITHOUT_KEY)
+    chances = [comb(VALUES, k) * (1 - same) ** k * same ** (VALUES - k) for k in range(VALUES + 1)]
+    return n, next(k for k in range(VALUES) if sum(chances[k + 1:]) <= MOST_APART)
+
+
 def signatures(shingles: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """A row of values for each text, from the shingles of all; texts without shingles get a row without meaning."""
     seeds = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
@@ -69,28 +83,28 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
-    """The 35 keys of each row that leave out one value of one chunk."""
-    signatures = signatures[:, :INDEXED]
-    keys = np.empty((len(signatures), INDEXED), dtype=np.uint64)
-    wide = signatures.astype(np.uint64).reshape(-1, CHUNKS, WIDTH)
+def chunk_keys(signatures: np.ndarray, n: int = CHUNKS) -> np.ndarray:
+    """The keys of each row that leave out one value of one of ``n`` chunks."""
+    signatures = signatures[:, :n * WIDTH]
+    keys = np.empty((len(signatures), n * WIDTH), dtype=np.uint64)
+    wide = signatures.astype(np.uint64).reshape(-1, n, WIDTH)
     for left_out in range(WIDTH):
         rest = np.delete(wide, left_out, axis=2)
         packed = np.zeros(rest.shape[:2], dtype=np.uint64)
         for k in range(WIDTH - 1):
             packed = (packed << np.uint64(16)) | rest[:, :, k]
-        names = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(left_out + 1)
+        names = np.arange(n, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(left_out + 1)
         keys[:, left_out::WIDTH] = mix(packed ^ mix(names * np.uint64(BASE)))
     return keys
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk_keys(rows).ravel().view(np.int64)),
-                 pa.array(np.repeat(batch.column(0).to_numpy(), INDEXED))], names=["key", "rep"])
+                [pa.array(chunk_keys(rows, n).ravel().view(np.int64)),
+                 pa.array(np.repeat(batch.column(0).to_numpy(), n * WIDTH))], names=["key", "rep"])
 
 
 def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> Iterator[pa.RecordBatch]:
@@ -99,6 +113,7 @@ def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> I
 
     With ``nearest`` each asking row gives its nearest one, else every pair comes once, from the first key that it shares.
     """
+    n, furthest = reach(percent)
     for group in groups_of(batches, ["key", "cell"]):
         key, cell = group.column("key").to_numpy(), group.column("cell").to_numpy()
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
@@ -110,7 +125,7 @@ def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> I
             asking, held = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
             if not len(asking) or not len(held):
                 continue
-            against, keys = rows[held], None if nearest else chunk_keys(rows[held])
+            against, keys = rows[held], None if nearest else chunk_keys(rows[held], n)
             for i in asking:
                 fits = (comp[held] != comp[i]) & (100 * np.minimum(size[held], size[i]) >= percent * np.maximum(size[held], size[i]))
                 if not nearest:  # Two rows that both ask meet twice.
@@ -121,9 +136,9 @@ def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> I
                     if nearest:
                         best = int(apart.argmin())
                         other, apart = other[best: best + 1], apart[best: best + 1]
-                    other, apart = other[apart <= FURTHEST], apart[apart <= FURTHEST]
+                    other, apart = other[apart <= furthest], apart[apart <= furthest]
                     if not nearest and len(other):
-                        own = chunk_keys(rows[i: i + 1])[0]
+                        own = chunk_keys(rows[i: i + 1], n)[0]
                         first = own[(keys[other] == own).argmax(axis=1)].view(np.int64) == key[i]
                         other, apart = other[first], apart[first]
                     found.append((np.full(len(other), rep[i]), rep[held[other]], apart))
@@ -174,7 +189,7 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 x shared shingles >= ``percent`` x all shingles of the two (percent of at least
-    85, for which the constants are chosen); a component is named by its smallest doc_id and that document is kept.
+    80, see ``reach``); a component is named by its smallest doc_id and that document is kept.
     Null and empty texts have no shingles and link with nothing; rows of a null doc_id are kept and link with nothing;
     repeated rows are one node (an id is taken to name one text); other columns are ignored; an empty table gives
     an empty result.
@@ -185,8 +200,8 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     enough, in blocks. So a group of g near copies costs about g comparisons, and no link is left out
     unless its ends are already connected.
     """
-    if percent < 85:
-        raise ValueError("the keys are made for a similarity of at least 85 of 100")
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the keys are made for a similarity of at least {LEAST_PERCENT} of 100")
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -195,7 +210,7 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     name = ["n_shingles", "set_a", "set_b"]
     classes = settled(signed.where("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(
         F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")), "classes")
-    keys = classes.select("rep", "signature").mapInArrow(_keys, "key long, rep long")
+    keys = classes.select("rep", "signature").mapInArrow(partial(_keys, n=reach(percent)[0]), "key long, rep long")
     # Written first, so that the join below shuffles both sides and can split a very common key.
     shared = settled(keys.groupBy("key").agg(
         F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count("*").alias("size")).where("pivot <> top"), "shared")
