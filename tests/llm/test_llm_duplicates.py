@@ -241,6 +241,18 @@ def test_leaks_equal_brute_force(spark):
     assert leaks(frame, none).count() == 0 and leaks(frame.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_leaks_at_the_threshold_with_distant_fingerprints(spark):
+    pairs = []
+    # Seeds whose item and passage, at a similarity of 0.8, have fingerprints 17 to 20 bits apart.
+    for seed in (16, 440, 576, 40, 662, 952, 18, 859, 1338, 1845, 2766):
+        rng = random.Random(seed)
+        w = [f"w{rng.randrange(400)}" for _ in range(54)]
+        pairs.append((seed, " ".join(w[:49]), f"{' '.join(w[:44] + w[49:])} and its end"))
+    docs, items = [(i, d) for i, _, d in pairs], [(i, x) for i, x, _ in pairs]
+    got = leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in got} == {(i, i): (0.8, 0) for i, _ in docs} == brute_leaks(docs, items, 0.8)
+
+
 def test_fingerprints_are_majorities_of_bits(spark):
     rng = random.Random(3)
     sets = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 31, 300)]

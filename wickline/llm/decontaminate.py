@@ -1,9 +1,10 @@
 """Benchmark passages in documents: SimHash of item-sized windows, a multi-index Hamming join, exact similarity.
 
 A window has as many words as the item and is described by the multiset of its five-word shingles. Fingerprints
-have 64 bits. Two of them within a distance of 16 agree in one of four 16-bit blocks but for at most four
-bits (pigeonhole), so the item's blocks with every such error are looked up by the window's blocks. Windows at
-the least similarity of 0.8 lie 9.7 bits apart on average, with a deviation of 2.9. Only DataFrame functions.
+have 64 bits. Two of them within a distance of 19 agree in one of four 16-bit blocks but for at most four
+bits (pigeonhole: 4 blocks x 5 errors = 20), so the item's blocks with every such error are looked up by the window's
+blocks. Windows at the least similarity of 0.8 lie 9.7 bits apart on average, with a deviation of 2.9. Only
+DataFrame functions.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from wickline.llm.spans import SHINGLE
 from wickline.session import settled
 
-BLOCKS, BLOCK_BITS, RADIUS = 4, 16, 16
+BLOCKS, BLOCK_BITS, ERRORS = 4, 16, 4
 #: Shingles of items, and rows that hold one, are broadcast up to so many (16 bytes each), else joined by a shuffle.
 MOST_BROADCAST = 500_000
 
@@ -75,8 +76,8 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
     are empty. Repeated rows give one row; ids may be null; other columns are ignored; empty tables give an
     empty result.
 
-    Windows without any shingle of an item of their size have similarity 0 and get no fingerprint. What is
-    broadcast is counted first.
+    A window gets a fingerprint only if enough of its shingles occur in items of its size to reach ``least``.
+    All pairs that are looked up are decided by their exact similarity. What is broadcast is counted first.
     """
     items = items.select("item_id", words(F.coalesce("text", F.lit(""))).alias("w")).where(F.size("w") > 0).distinct()
     sized = items.withColumn("length", F.least(F.size("w"), F.lit(SHINGLE)))
@@ -93,12 +94,17 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
         "row_a", "row_b", "doc_id", "g.length", "g.h")
     if not lengths:
         return rows.join(known, F.lit(False)).select("doc_id", "item_id", F.lit(1.0).alias("similarity"), F.lit(0).alias("first_word"))
-    places = grams(rows).select("row_a", "row_b", "length", F.posexplode("h").alias("pos", "h"))
-    hits = settled(places.join(_small(wanted), ["length", "h"]).select("row_a", "row_b", "length", "m", "pos"), "hits")
-
-    # All windows of an item's size that hold such a shingle, as starts for each row and size.
-    starts = hits.select("row_a", "row_b", "length", "m", F.explode(
-        F.sequence(F.greatest(F.col("pos") - F.col("m") + 1, F.lit(0)), F.col("pos"))).alias("start")).distinct()
+    places = grams(rows).select("row_a", "row_b", "length", F.size("h").alias("n"), F.posexplode("h").alias("pos", "h"))
+    hits = settled(places.join(_small(wanted), ["length", "h"]).select("row_a", "row_b", "length", "n", "m", "pos"), "hits")
+
+    # All windows of an item's size that hold enough such shingles, as starts for each row and size: of two multisets
+    # of ``size`` and m shingles that reach ``least``, least / (1 + least) x (size + m) are common.
+    size, inside = F.least("m", "n"), F.col("start") + F.col("m") <= F.col("n")
+    starts = hits.select("row_a", "row_b", "length", "n", "m", F.explode(
+        F.sequence(F.greatest(F.col("pos") - F.col("m") + 1, F.lit(0)), F.col("pos"))).alias("start")).where(
+        inside).groupBy(
+        "row_a", "row_b", "length", "n", "m", "start").agg(F.count("*").alias("held")).where(
+        (1 + least) * F.col("held") >= least * (F.col("m") + size) - 1e-6)
     asked = starts.groupBy("row_a", "row_b", "length", "m").agg(F.collect_list("start").alias("starts"))
     marked = grams(rows.join(_small(hits.select("row_a", "row_b").distinct()), ["row_a", "row_b"], "left_semi"))
     windows = marked.dropDuplicates(["row_a", "row_b", "length"]).join(asked, ["row_a", "row_b", "length"])
@@ -108,15 +114,14 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
     printed = settled(cut.select("row_a", "row_b", "doc_id", "length", "m", "x.start", "x.h", fingerprint(F.col("x.h")).alias("fp")), "windows")
 
     blocks = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
-    masks = [sum(1 << b for b in bits) for e in range(RADIUS // BLOCKS + 1) for bits in combinations(range(BLOCK_BITS), e)]
+    masks = [sum(1 << b for b in bits) for e in range(ERRORS + 1) for bits in combinations(range(BLOCK_BITS), e)]
     errors = docs.sparkSession.createDataFrame([(x,) for x in masks], "mask int")
     key = _block()
     looked_up = known.withColumn("fp", fingerprint(F.col("h"))).select("item_id", "length", "m", "fp", blocks).select(
-        "item_id", "length", "m", "block", F.col("fp").alias("item_fp"), key.alias("k")).join(F.broadcast(errors)).select(
-        "item_id", "length", "m", "block", "item_fp", F.col("k").bitwiseXOR(F.col("mask")).alias("k"))
+        "item_id", "length", "m", "block", key.alias("k")).join(F.broadcast(errors)).select(
+        "item_id", "length", "m", "block", F.col("k").bitwiseXOR(F.col("mask")).alias("k"))
     own = ["row_a", "row_b", "doc_id", "length", "m", "start", "fp"]
-    near = printed.select(*own, blocks).withColumn("k", key).join(looked_up, ["length", "m", "block", "k"]).where(
-        F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select(
+    near = printed.select(*own, blocks).withColumn("k", key).join(looked_up, ["length", "m", "block", "k"]).select(
         "row_a", "row_b", "length", "m", "start", "item_id").distinct()
     pairs = near.join(printed.select("row_a", "row_b", "doc_id", "length", "m", "start", "h"), ["row_a", "row_b", "length", "m", "start"]).join(
         known.select(F.col("item_id"), "length", "m", F.col("h").alias("item_h")), ["item_id", "length", "m"])
