@@ -39,8 +39,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark"), 0.8).select("doc_id").distinct()
+    """Documents without a benchmark item, also those that are shorter than it."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark"), 0.8, short=True).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -253,6 +253,18 @@ def test_leaks_at_the_threshold_with_distant_fingerprints(spark):
     assert {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in got} == {(i, i): (0.8, 0) for i, _ in docs} == brute_leaks(docs, items, 0.8)
 
 
+def test_decontamination_stage_drops_texts_shorter_than_the_item(spark, tmp_path):
+    w = text_of(random.Random(6), 49).split()  # 45 shingles
+    texts = [" ".join(w), " ".join(w[:48]), " ".join(w[2:46]), " ".join(w[:40]), " ".join(w[:39]), " ".join(w[:37] + ["other"]), w[0], None]
+    spark.createDataFrame([(1, " ".join(w))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = leaks(docs, spark.read.parquet(str(tmp_path / "benchmark.parquet")), 0.8, short=True)
+    assert {r.doc_id: (r.similarity, r.first_word) for r in found.collect()} == {
+        0: (1.0, 0), 1: (round(44 / 45, 6), 0), 2: (round(40 / 45, 6), 0), 3: (0.8, 0)}
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == {4, 5, 6, 7}
+
+
 def test_fingerprints_are_majorities_of_bits(spark):
     rng = random.Random(3)
     sets = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 31, 300)]

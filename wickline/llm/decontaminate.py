@@ -67,14 +67,14 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
-def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8, short: bool = False) -> DataFrame:
     """doc_id, item_id, similarity and first_word of the best window of each document and benchmark item.
 
     ``docs`` has doc_id and text, ``items`` item_id and text. A row appears where a window of the item's number of
     words reaches ``least`` (0.8 or more) in weighted Jaccard similarity of shingles; of equal windows the
     first counts. Items of fewer than five words are one shingle, those without words match nothing; null texts
     are empty. Repeated rows give one row; ids may be null; other columns are ignored; empty tables give an
-    empty result.
+    empty result. With ``short`` a text of fewer shingles than the item is one window as well, that of all its words.
 
     A window gets a fingerprint only if enough of its shingles occur in items of its size to reach ``least``.
     All pairs that are looked up are decided by their exact similarity. What is broadcast is counted first.
@@ -100,6 +100,8 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
     # All windows of an item's size that hold enough such shingles, as starts for each row and size: of two multisets
     # of ``size`` and m shingles that reach ``least``, least / (1 + least) x (size + m) are common.
     size, inside = F.least("m", "n"), F.col("start") + F.col("m") <= F.col("n")
+    if short:
+        inside |= (F.col("start") == 0) & (F.col("n") < F.col("m")) & (F.col("n") >= least * F.col("m") - 1e-6)
     starts = hits.select("row_a", "row_b", "length", "n", "m", F.explode(
         F.sequence(F.greatest(F.col("pos") - F.col("m") + 1, F.lit(0)), F.col("pos"))).alias("start")).where(
         inside).groupBy(
@@ -109,8 +111,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
     marked = grams(rows.join(_small(hits.select("row_a", "row_b").distinct()), ["row_a", "row_b"], "left_semi"))
     windows = marked.dropDuplicates(["row_a", "row_b", "length"]).join(asked, ["row_a", "row_b", "length"])
     cut = windows.select("row_a", "row_b", "doc_id", "length", "m", F.explode(F.transform(
-        F.filter("starts", lambda s: s + F.col("m") <= F.size("h")),
-        lambda s: F.struct(s.alias("start"), F.slice("h", s + 1, F.col("m")).alias("h")))).alias("x"))
+        "starts", lambda s: F.struct(s.alias("start"), F.slice("h", s + 1, F.col("m")).alias("h")))).alias("x"))
     printed = settled(cut.select("row_a", "row_b", "doc_id", "length", "m", "x.start", "x.h", fingerprint(F.col("x.h")).alias("fp")), "windows")
 
     blocks = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
@@ -126,7 +127,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
     pairs = near.join(printed.select("row_a", "row_b", "doc_id", "length", "m", "start", "h"), ["row_a", "row_b", "length", "m", "start"]).join(
         known.select(F.col("item_id"), "length", "m", F.col("h").alias("item_h")), ["item_id", "length", "m"])
     both = _common(F.col("h"), F.col("item_h"))
-    scored = pairs.withColumn("common", both).withColumn("similarity", F.col("common") / (2 * F.col("m") - F.col("common")))
+    scored = pairs.withColumn("common", both).withColumn("similarity", F.col("common") / (F.size("h") + F.col("m") - F.col("common")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before")))
     return scored.where(F.col("similarity") >= least).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", F.round("b.similarity", 6).alias("similarity"), (-F.col("b.before")).cast("int").alias("first_word"))
