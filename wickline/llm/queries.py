@@ -1,10 +1,10 @@
-"""The ten operators as registered queries over their whole tables, and their DuckDB twins where SQL can express them."""
+"""The operators as registered queries over their whole tables, and their DuckDB twins where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wickline.llm import language, pieces, severity
+from wickline.llm import alignment, language, pieces, rank_bpe, severity
 from wickline.llm.decontaminate import leaks
 from wickline.llm.licenses import RULES, SENTENCES, CREATIVE, scan_licenses
 from wickline.llm.near_join import near_components
@@ -13,6 +13,7 @@ from wickline.llm.suffix_dedup import remove_repeats
 from wickline.llm.token_rollup import TokenRollup, bpe_counter, count_tokens, signed, word_count
 from wickline.llm.topk import integer_vectors, top_k
 from wickline.llm.warc import read_archives, write_archives
+from wickline.llm.whitening import by_component, fit_whitening, grid_vectors, whiten
 from wickline.session import fresh_path, settled
 
 
@@ -193,7 +194,30 @@ def piece_digests(rows):
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.META, " ")).alias("round_trip"))
 
 
+def op11_whitening(spark, sf):
+    """Per vector and component: its whitened value, with the part of the variance that the component explains."""
+    vectors = grid_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    model = fit_whitening(vectors, 16)
+    return by_component(whiten(vectors, model), model)
+
+
+def op12_alignment(spark, sf, tokenizers=TOKENIZERS):
+    """Per document: how the tokens of two tokenizers lie upon each other, and how usual its links are in the table."""
+    shared = alignment.share_tokenizers(spark, f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model")
+    rows = alignment.score_links(alignment.align(table(spark, sf, "documents").select("doc_id", "text"), shared), shared)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_rank_bpe(spark, sf, tokenizers=TOKENIZERS):
+    """Per document: its number of tokens, and digests of their ids and of the text that these decode to."""
+    shared = rank_bpe.share_vocabulary(spark, f"{tokenizers}/word_bpe_49k.json")
+    rows = rank_bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), shared).drop("text")
+    return rank_bpe.digest_ids(rank_bpe.decode(rows, shared)).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_token_counts, op3_warc, op4_suffix_dedup, op5_language_id, op6_exact_topk, op7_decontaminate,
-    op8_minhash, op9_toxicity, op10_sentencepiece)}
+    op8_minhash, op9_toxicity, op10_sentencepiece, op11_whitening, op12_alignment, op13_rank_bpe)}
 ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_warc": OP3_SQL, "op6_exact_topk": OP6_SQL, "op7_decontaminate": OP7_SQL}
