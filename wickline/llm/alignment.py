@@ -30,7 +30,7 @@ from wickline.session import fresh_path, settled
 
 META = "▁"
 #: Parts or groups that a worker remembers, and their characters together; the memory is emptied when either is reached.
-REMEMBERED, CHARACTERS = 300_000, 8 << 20
+REMEMBERED, CHARACTERS = 400_000, 16 << 20
 #: Pairs of ids up to which the counts are broadcast (16 bytes each); beyond, the rows' pairs are joined with them.
 MOST_PAIRS = 4_000_000
 COUNTED = "n_a long, n_b long, n_groups long, n_links long, groups string"
@@ -58,11 +58,15 @@ def refined_ends(begins: list[int], ends: list[int], lengths: list[int]) -> list
 
 def shared_ends(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> list[str]:
     """The ids between byte places where both tokenizers end, as ``a1,a2|b1``."""
-    both, groups, i, j = set(ends_a).intersection(ends_b), [], 0, 0
+    if ends_a == ends_b:
+        return [f"{a}|{b}" for a, b in zip(ids_a, ids_b)]
+    groups, i, j, m, size = [], 0, 0, 0, len(ends_b)
     for k, end in enumerate(ends_a):
-        if end in both:
-            m = ends_b.index(end, j) + 1
-            groups.append(f"{ids_a[i]}|{ids_b[j]}" if k == i and m == j + 1 else
+        while m < size and ends_b[m] < end:
+            m += 1
+        if ends_b[m] == end:
+            m += 1
+            groups.append(f"{ids_a[k]}|{ids_b[j]}" if k == i and m == j + 1 else
                           f"{','.join(map(str, ids_a[i:k + 1]))}|{','.join(map(str, ids_b[j:m]))}")
             i, j = k + 1, m
     return groups
@@ -107,20 +111,17 @@ class Aligner:
         text = " " + part
         a, b = self.a.encode(text, add_special_tokens=False), b or self.b.encode(part, return_type="offset_mapping", return_bytes=True)
         ids_a, ids_b, offsets = a.ids, b["ids"], a.offsets
-        decoded_a, decoded_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
         raw = text.encode("utf-8", "surrogatepass")
-        if b"".join(decoded_a) != raw or b"".join(decoded_b) != raw:
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
             return None
         if len(raw) == len(text):  # every character is a byte, so no tokens share one
             return ids_a, [e for _, e in offsets], ids_b, [e + 1 for _, e in b["offsets"]]
-        byte_at, at = [0], 0  # from characters to bytes
-        for c in text:
-            at += 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
-            byte_at.append(at)
-        ends_a = refined_ends([byte_at[x] for x, _ in offsets], [byte_at[x] for _, x in offsets], list(map(len, decoded_a)))
+        byte_at = [i for i, x in enumerate(raw) if x & 0xC0 != 0x80]  # from characters to bytes
+        byte_at.append(len(raw))
+        ends_a = refined_ends([byte_at[x] for x, _ in offsets], [byte_at[x] for _, x in offsets], [len(self.bytes_a[i]) for i in ids_a])
         # The blank that the model adds has no place of its own: the first piece begins with it.
         begins = [0, *(x + 1 for x, _ in b["offsets"][1:])]
-        ends_b = refined_ends(begins, [x + 1 for _, x in b["offsets"]], list(map(len, decoded_b)))
+        ends_b = refined_ends(begins, [x + 1 for _, x in b["offsets"]], [len(self.bytes_b[i]) for i in ids_b])
         return None if ends_a is None or ends_b is None else (ids_a, ends_a, ids_b, ends_b)
 
     def _learn(self, parts: list[str]) -> None:

@@ -212,9 +212,7 @@ def op12_alignment(spark, sf, tokenizers=TOKENIZERS):
 def op13_rank_bpe(spark, sf, tokenizers=TOKENIZERS):
     """Per document: its number of tokens, and digests of their ids and of the text that these decode to."""
     shared = rank_bpe.share_vocabulary(spark, f"{tokenizers}/word_bpe_49k.json")
-    rows = rank_bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), shared).drop("text")
-    return rank_bpe.digest_ids(rank_bpe.decode(rows, shared)).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return rank_bpe.recode(table(spark, sf, "documents").select("doc_id", "text"), shared)
 
 
 QUERIES = {f.__name__: f for f in (

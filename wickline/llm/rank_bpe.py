@@ -2,8 +2,8 @@
 
 A word is held as its parts and, beside them, the merge rank of each part with the next. The least rank is looked for, the
 boundary behind it deleted, and the two ranks beside it looked up anew, until no neighbours merge. Words of more than
-``LONG`` parts, for which the repeated scans would be quadratic, take the same merges from a heap. Words are remembered per
-task, as most of a text is words that were met before.
+``LONG`` parts, for which the repeated scans would be quadratic, take the same merges from a heap. What stands between
+blanks is remembered per task, as most of a text was met before; no word holds a blank, nor does a character combine with one.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -25,9 +25,10 @@ from wickline.llm.spans import small_batches
 
 #: Parts from which on a word's merges are kept in a heap.
 LONG = 128
-#: Words that a worker remembers, and their greatest length; the memory is emptied when it is full.
+#: Stretches between blanks, and words, that a worker remembers, and their greatest length; a memory is emptied when it is full.
 REMEMBERED, LONGEST = 300_000, 64
 NEVER = 1 << 60
+RECODED = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 _loaded: dict[int, "RankBpe"] = {}
 
@@ -40,6 +41,22 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
 
 
+class _Known(dict):
+    """The ids of stretches that were met, as bytes; others are asked for."""
+
+    def __init__(self, ask: Callable[[str], bytes]):
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, stretch: str) -> bytes:
+        found = self.ask(stretch)
+        if len(stretch) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[stretch] = found
+        return found
+
+
 class RankBpe:
     """A vocabulary with its merge ranks, and how its file normalises and cuts a text."""
 
@@ -72,7 +89,8 @@ class RankBpe:
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.specials = regex.compile(f"({'|'.join(names)})") if names else None
         self.text_of = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
-        self.known: dict[str, bytes] = {}
+        self.words = _Known(lambda word: np.array(self.word(word), dtype=np.int32).tobytes())
+        self.known, self.rare = _Known(partial(self._stretch, cut=self._words)), partial(self._stretch, cut=self._library_words)
         self.alike, self.unlike = set(map(chr, range(128))), set()
 
     def word(self, word: str) -> list[int]:
@@ -117,13 +135,8 @@ class RankBpe:
                     heapq.heappush(heap, (rank, left, ids[left], ids[after[left]]))
         return [x for x in ids if x >= 0]
 
-    def _remember(self, word: str) -> bytes:
-        found = np.array(self.word(word), dtype=np.int32).tobytes()
-        if len(word) <= LONGEST:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = found
-        return found
+    def _stretch(self, stretch: str, cut: Callable[[str], list[str]]) -> bytes:
+        return b"".join(map(self.words.__getitem__, cut(stretch)))
 
     def _unlike(self, text: str) -> bool:
         """Whether the text has a character that the library normalises or cuts in another way than Python, which knows
@@ -149,13 +162,14 @@ class RankBpe:
         return [bytes(byte_of[c] for c in w).decode("utf-8", "surrogatepass") for w, _ in cut]
 
     def encode(self, text: str) -> np.ndarray:
-        get, miss, out = self.known.get, self._remember, []
+        out = []
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.special:
                 out.append(np.int32(self.special[part]).tobytes())
-            elif part:
-                words = self._library_words(part) if self._unlike(part) else self._words(part)
-                out.extend([get(w) or miss(w) for w in words])
+            elif self._unlike(part):
+                out.append(self.rare(part))
+            else:
+                out.extend(map(self.known.__getitem__, part.split(" ")))
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
@@ -195,6 +209,15 @@ def _decode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iter
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
 
 
+def _recode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iterator[pa.RecordBatch]:
+    encoded = (b.drop_columns("text") for b in _encode(batches, shared, [*names, "text"]))
+    for batch in _digest(_decode(encoded, shared, [*names, "ids"]), [*names, "ids", "decoded"]):
+        sizes = batch.column("ids").value_lengths().cast(pa.int64())
+        texts = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in batch.column("decoded").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), sizes, batch.column("ids_sha256"), pa.array(texts, pa.string())],
+                                         names=[*names, *RECODED])
+
+
 def _kept(frame: DataFrame) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema.fields)
 
@@ -232,3 +255,12 @@ def digest_ids(rows: DataFrame) -> DataFrame:
     small_batches(rows.sparkSession)
     rows = rows.drop("ids_sha256")
     return rows.mapInArrow(partial(_digest, names=rows.columns), f"{_kept(rows)}ids_sha256 string")
+
+
+def recode(docs: DataFrame, shared) -> DataFrame:
+    """``encode``, ``decode`` and ``digest_ids`` in one step, for those who need no ids or texts: every row without its
+    ``text``, with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (replaced if there). Rows are treated as these do."""
+    small_batches(docs.sparkSession)
+    docs = docs.drop(*RECODED)
+    kept = docs.drop("text")
+    return docs.mapInArrow(partial(_recode, shared=shared, names=kept.columns), f"{_kept(kept)}n_tokens long, ids_sha256 string, decoded_sha256 string")
