@@ -106,7 +106,9 @@ OP3_SQL = """
 
 def op4_suffix_dedup(spark, sf):
     """Per document: what is left without the byte strings of 400 that occur more than once."""
-    return remove_repeats(table(spark, sf, "documents"), 400).drop("text", "kept_bytes")
+    rows = remove_repeats(table(spark, sf, "documents"), 400)
+    # A cut may fall inside a character: what is left of it becomes a replacement character.
+    return rows.withColumn("text", F.make_valid_utf8(F.col("kept_bytes").cast("string"))).drop("kept_bytes")
 
 
 def held_out(key):
