@@ -125,7 +125,7 @@ def q_model_roundtrip(spark, sf):
 
 def q_serve_production(spark, sf):
     """A training run promotes its first model; the whole candle table is then scored with it."""
-    root, settings = fresh_path(spark, "serving"), TrainingSettings(bootstrap_rounds=2)
+    root, settings = fresh_path(spark, "serving"), TrainingSettings()
     run_training(d.klines_stamped(spark, sf), root, settings, d.RUN_TS)
     out = serve(d.keyed_klines(spark, sf), root, settings.name, ["symbol"])
     return out.groupBy("symbol").agg(F.count("*").alias("rows"))

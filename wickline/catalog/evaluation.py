@@ -114,11 +114,11 @@ def q_holdout(spark, sf):
     return d.rounded(metrics.as_metric_rows(metrics.overall_metrics(models.scored(model, test), prefix="holdout")))
 
 
-ROUNDS = 20
+ROUNDS = 200
 
 
 def rounds_of_votes(spark, sf):
-    """Noisy cut-off votes of twenty rounds on every event."""
+    """Noisy cut-off votes of two hundred rounds on every event."""
     rows = d.scored_events(spark, sf).select("event_id", "p", F.explode(F.sequence(F.lit(0), F.lit(ROUNDS - 1))).alias("round"))
     noise = hashed_uniform("vote", F.col("round"), F.col("event_id")) * F.lit(0.4)
     return rows.select("round", F.col("event_id").alias("test_id"), (F.col("p") + noise).alias("s"))
@@ -140,11 +140,19 @@ def q_bias_variance_mse(spark, sf):
 
 def q_bias_variance_fit(spark, sf):
     train, _, test = parts(spark, sf)
-    votes = settled(models.bias_variance_fit(train, test, "key", rounds=6), "votes")
+    votes = settled(models.bias_variance_fit(train, test, "key", ROUNDS), "votes")
     truth = test.select(F.col("key").alias("test_id"), F.col(schemas.TARGET).alias("y"))
     return d.rounded(biasvariance.bias_variance_summary(votes, truth))
 
 
+def q_bias_variance_fit_mse(spark, sf):
+    """As ``bias_variance_fit``, with rounds fitted to squared errors."""
+    train, _, test = parts(spark, sf)
+    votes = settled(models.bias_variance_fit(train, test, "key", ROUNDS, loss="mse"), "votes")
+    truth = test.select(F.col("key").alias("test_id"), F.col(schemas.TARGET).alias("y"))
+    return d.rounded(biasvariance.bias_variance_summary(votes, truth, "mse"))
+
+
 QUERIES = {
     "confusion_matrix": q_confusion_matrix, "confusion_binary": q_confusion_binary,
     "per_class_report": q_per_class_report, "weighted_prf": q_weighted_prf,
@@ -156,7 +164,7 @@ QUERIES = {
     "roc_curve": q_roc_curve, "roc_curve_corners": q_roc_curve_corners, "threshold_table": q_threshold_table,
     "benefit_structure": q_benefit_structure, "best_threshold": q_best_threshold, "holdout": q_holdout,
     "bias_variance_01": q_bias_variance_01, "bias_variance_mse": q_bias_variance_mse,
-    "bias_variance_fit": q_bias_variance_fit,
+    "bias_variance_fit": q_bias_variance_fit, "bias_variance_fit_mse": q_bias_variance_fit_mse,
 }
 
 _S, _L = f"with {d.SCORED_SQL}", f"with {d.LINES_SQL}"

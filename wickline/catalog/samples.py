@@ -29,7 +29,7 @@ def q_shuffle_batches(spark, sf):
 
 
 def q_bootstrap_sample(spark, sf):
-    return resampling.bootstrap_sample(d.table(spark, sf, "customer"), "c_custkey", 3)
+    return resampling.bootstrap_sample(d.table(spark, sf, "customer"), "c_custkey", 200)
 
 
 def q_poisson_bootstrap(spark, sf):
@@ -91,7 +91,7 @@ ORACLES = {
 from events""",
     "bootstrap_sample": f"""with n as (select count(*) as n from customer),
 d as (select (i.i // n)::int as round, ('0x' || substr(md5('42:' || (i.i // n)::varchar || ':' || (i.i % n)::varchar),1,15))::bigint % n + 1
-        as row from n, range((select n * 3 from n)) i(i)),
+        as row from n, range((select n * 200 from n)) i(i)),
 r as (select c_custkey, row_number() over (order by {_shuffled('c_custkey', 42)}) as row from customer)
 select round, c_custkey, count(*) as draws from d join r using (row) group by 1, 2""",
     "poisson_bootstrap": "with u as (select o_orderkey, ('0x' || substr(md5('42:1:' || o_orderkey::varchar),1,8))::bigint"

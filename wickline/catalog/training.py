@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.catalog import derived as d
 from wickline.catalog.preparation import parted_klines
-from wickline.operators import features, metrics, models, ranking, resampling
+from wickline.operators import features, grids, linear_block, metrics, models, ranking, resampling
 from wickline.plans.training import TrainingSettings, run_training
 from wickline.session import fresh_path, settled
 
@@ -102,7 +103,7 @@ def q_retrain(spark, sf):
 
 
 def q_grid_search(spark, sf):
-    return d.rounded(ranking.rank_grid(models.grid_search(folded(spark, sf), [1, 2, 3, 4, 5], parallelism=8)[0]))
+    return d.rounded(ranking.rank_grid(grids.search_grid(folded(spark, sf), [1, 2, 3, 4, 5])[0]))
 
 
 def q_training_run(spark, sf):
@@ -112,7 +113,34 @@ def q_training_run(spark, sf):
     return d.rounded(spark.read.parquet(f"{root}/metrics").select("name", "step", "value"))
 
 
+def q_train_warm(spark, sf):
+    """Metrics of the training and validation rows after each of five epochs that go on from the last, for three trials."""
+    train, val, _ = parts(spark, sf)
+    trials = models.sample_trials(spark.createDataFrame([("linear",)], "study string"), "study").orderBy("trial").collect()
+    state = linear_block.warm_epochs(train, [t.alpha for t in trials], [t.power_t for t in trials], models.EPOCHS, "key", label=schemas.TARGET)
+    rows = state.orderBy("epoch", "trial").collect()  # epochs x trials
+    block, names = np.array([r.coefficients for r in rows]), F.array(*[F.struct(F.lit(r.epoch).alias("step"), F.lit(r.trial).alias("trial")) for r in rows])
+    scored = [linear_block.predict_linear_block(df.withColumn("y", F.col(schemas.TARGET).cast("int")), block, ["y"]).select(
+        F.lit(part).alias("part"), "y", F.posexplode("p").alias("at", "p")).select("part", F.get(names, "at").alias("of"), "y", "p")
+        for part, df in (("train", train), ("val", val))]
+    long = scored[0].unionByName(scored[1]).select("part", "of.*", "y", "p", (F.col("p") >= 0.5).cast("int").alias("y_pred"))
+    return d.rounded(metrics.overall_metrics(long, ["trial", "step", "part"]))
+
+
+def q_bootstrap_rates(spark, sf):
+    """Two hundred bootstrap rounds of a logistic model on one indicator for each symbol, fitted in one block. Each round's
+    probability of a symbol is its weighted share of rises, which is what the twin computes."""
+    rows = settled(d.keyed_klines(spark, sf), "klines")
+    names = [r.symbol for r in rows.select("symbol").distinct().orderBy("symbol").collect()]  # the indicator columns
+    features = F.array(*[(F.col("symbol") == n).cast("double") for n in names])
+    df = rows.withColumn("features", features)
+    block = linear_block.fit_linear_block(df, [0.0] * 200, label=schemas.TARGET, weights=linear_block.bootstrap_weights(200, F.col("key")))
+    one = linear_block.predict_linear_block(df.groupBy("symbol").agg(F.first("features").alias("features")), block, ["symbol"])
+    return one.select("symbol", F.posexplode("p").alias("round", "p")).select("symbol", "round", F.round("p", 5).alias("p"))
+
+
 QUERIES = {
+    "train_warm": q_train_warm, "bootstrap_rates": q_bootstrap_rates,
     "sample_trials": q_sample_trials, "train_linear": q_train_linear, "prior_baseline": q_prior_baseline,
     "stratified_baseline": q_stratified_baseline, "spot_check": q_spot_check, "oof_predictions": q_oof_predictions,
     "cross_validation": q_cross_validation, "tune": q_tune, "trials_table": q_trials_table, "retrain": q_retrain, "grid_search": q_grid_search,
@@ -125,7 +153,12 @@ def _draw(name: str) -> str:
 
 
 _LOW, _SPAN = math.log(1e-4), math.log(2e-4) - math.log(1e-4)
+_RUNGS = [sum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)) for k in range(12)]
 ORACLES = {
+    "bootstrap_rates": f"""with {d.KLINES_SQL}, u as (select symbol, price_increase as y, t.r::int as round,
+  {d.md5_int("'42:' || t.r::varchar || ':' || key")} / 4294967296e0 as u from cleaned, range(200) t(r)),
+w as (select *, {' + '.join(f'(u >= {r!r})::int' for r in _RUNGS)} as w from u)
+select symbol, round, round(sum(w * y) / sum(w), 5) as p from w group by 1, 2""",
     "sample_trials": f"""select c_custkey as study, t.i::int as trial, round(exp({_LOW!r} + {_draw('alpha')} * {_SPAN!r}), 9) as alpha,
   round(0.1e0 + {_draw('power_t')} * 0.4e0, 9) as power_t from customer, range(3) t(i)""",
     "prior_baseline": """with tr as (select l_returnflag as c, count(*) as n from lineitem where l_shipdate < timestamp '1998-01-01' group by 1),

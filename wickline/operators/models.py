@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.functions.hashing import hashed_uniform
+from wickline.operators.linear_block import bootstrap_weights, fit_linear_block, predict_linear_block
 from wickline.operators.features import numeric_stage, preprocess_chain
 from wickline.operators.metrics import overall_metrics, ranking_metrics
 from wickline.operators.neighbours import knn_classify
@@ -313,9 +314,19 @@ def paired_t(pairs: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFr
 
 def bias_variance_fit(train: DataFrame, test: DataFrame, key: str, rounds: int = 200, seed: int = 42,
                       estimator: Estimator | None = None, label: str = schemas.TARGET,
-                      parallelism: int = 4) -> DataFrame:
-    """(round, test_id, pred): each round fits bootstrap weights of the training rows, then predicts the test rows."""
-    est = estimator or linear_estimator(label=label)
+                      parallelism: int = 4, loss: str = "0-1_loss", alpha: float = ALPHA) -> DataFrame:
+    """(round, test_id, pred): each round fits bootstrap weights of the training rows, then predicts the test rows.
+
+    Without an ``estimator`` all rounds are one block of linear models, fitted and applied in the same scans; with the loss
+    ``mse`` they are fitted to squared errors and predict numbers.
+    """
+    if estimator is None:
+        squared = loss == "mse"
+        block = fit_linear_block(train, [alpha] * rounds, label=label, weights=bootstrap_weights(rounds, F.col(key), seed), squared=squared)
+        values = predict_linear_block(test, block, [key], squared=squared).select(
+            F.posexplode("p").alias("round", "p"), F.col(key).alias("test_id"))
+        return values.select("round", "test_id", (F.col("p") if squared else (F.col("p") >= 0.5).cast("int")).alias("pred"))
+    est = estimator
     with kept(train.select(key, "features", label)) as frame:
         models = side_by_side(train.sparkSession, [
             lambda r=r: est.copy({est.weightCol: "weight"}).fit(

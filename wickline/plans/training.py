@@ -17,7 +17,7 @@ from wickline.sources import snapshots
 
 @dataclass(frozen=True)
 class TrainingSettings:
-    """Parameters of a run; the defaults are the customary ones, with fewer bootstrap rounds."""
+    """Parameters of a run; the defaults are the customary ones."""
 
     name: str = "direction"
     since: str = "2023-06-09 00:00:00"
@@ -25,7 +25,7 @@ class TrainingSettings:
     seed: int = resampling.SEED
     trials: int = models.TRIALS
     monitor: str = "accuracy"
-    bootstrap_rounds: int = 5
+    bootstrap_rounds: int = 200
 
 
 REGISTRY_TYPES = "name string, version int, run_id string, stage string, changed_at timestamp_ntz"
@@ -68,8 +68,7 @@ def run_training(candles: DataFrame, root: str, settings: TrainingSettings, run_
     model = models.retrain(part["train"], best)
     wide = {p: metrics.overall_metrics(models.scored(model, part[s]), prefix=p)
             for p, s in (("train", "train"), ("holdout", "test"))}
-    votes = models.bias_variance_fit(part["train"], part["test"], "key", settings.bootstrap_rounds,
-                                     estimator=models.linear_estimator(best["alpha"]))
+    votes = models.bias_variance_fit(part["train"], part["test"], "key", settings.bootstrap_rounds, alpha=best["alpha"])
     truth = part["test"].select(F.col("key").alias("test_id"), F.col(schemas.TARGET).alias("y"))
     summary = biasvariance.bias_variance_summary(settled(votes, "votes"), truth)
     named = summary.select(*[F.col(c).alias(f"avg_{c}") for c in summary.columns])

@@ -14,3 +14,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         if "PATH_NOT_FOUND" in str(error):
             return False
         raise
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that only its maker knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
