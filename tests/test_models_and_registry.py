@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wickline import schemas
-from wickline.functions.pvalues import normal_two_sided, student_two_sided
+from wickline.functions.pvalues import normal_p, student_p
 from wickline.operators import features, metrics, models, monitoring, neighbours, ranking, registry, resampling, scoring
 from wickline.plans.serving import production_model, serve
 from wickline.plans.training import REGISTRY_TYPES, TrainingSettings, run_training
@@ -110,23 +111,52 @@ def test_neighbours_equal_brute_force(spark, block_rows):
     donors = spark.createDataFrame([(1000 + i, *cast(r), float(v)) for i, (r, v) in enumerate(zip(d, values))],
                                    "id bigint, x double, y double, z double, t double")
     asks = spark.createDataFrame([(i, *cast(r), None) for i, r in enumerate(q)], "id bigint, x double, y double, z double, t double")
-    got = neighbours.nearest_neighbours(asks, donors, "id", ["x", "y", "z"], "t", 4, "x", block_rows).collect()
+    got = neighbours.nearest_neighbours(asks, donors, "id", ["x", "y", "z"], "t", 4, block_rows).collect()
     want = brute_neighbours(q, d, values, 4)
     for i in range(60):
         mine = [r["value"] for r in sorted((r for r in got if r["query_id"] == i), key=lambda r: r["nearest"])]
         assert mine == pytest.approx(want[i])
 
 
+def test_neighbours_visit_a_small_part(spark):
+    """Boxes in all features rule out most cells, also where one feature tells nothing."""
+    rng = np.random.default_rng(6)
+    d = np.column_stack([np.full(4000, 1.0), rng.uniform(0, 100, (4000, 2))])
+    donors = spark.createDataFrame([(i, *map(float, r), float(i)) for i, r in enumerate(d)], "id bigint, x double, y double, z double, t double")
+    asks = donors.where("id % 40 = 0").withColumn("id", F.col("id") + 10_000)
+    pairs = spark.sparkContext.accumulator(0)
+    got = neighbours.nearest_neighbours(asks, donors, "id", ["x", "y", "z"], "t", 3, 100, pairs).collect()
+    want = brute_neighbours(d[::40], d, np.arange(4000.0), 3)
+    for i in range(100):
+        assert [r["value"] for r in sorted((r for r in got if r["query_id"] == 10_000 + 40 * i), key=lambda r: r["nearest"])] == want[i]
+    assert 0 < pairs.value < 0.15 * 100 * 4000
+
+
+def test_chain_fills_from_neighbours(spark):
+    rows = [(i, float(i % 10), 2.0 * (i % 10), "ab"[i % 2]) for i in range(60)] + [(100, 3.0, None, "a"), (101, None, 8.0, "b"), (102, None, None, "z")]
+    df = spark.createDataFrame(rows, "id bigint, x double, y double, c string")
+    filled = {r["id"]: r for r in neighbours.knn_impute_columns(df, df, "id", ["x", "y"], 3).collect()}
+    assert filled[100]["y"] == 6.0 and filled[101]["x"] == 4.0 and filled[5]["y"] == 10.0
+    assert filled[102]["x"] == pytest.approx(np.mean([r[1] for r in rows if r[1] is not None]))
+    from wickline.operators.features import preprocess_by_neighbours
+
+    out, chain = preprocess_by_neighbours(df, df.where("id < 60"), "id", ["x", "y"], ["c"], 3)
+    got = {r["id"]: r["features"].toArray() for r in out.select("id", "features").collect()}
+    assert len(got) == 63
+    same = [i for i in range(60) if i % 10 == 3][0]
+    assert np.allclose(got[100][:2], got[same][:2]) and chain.transform(out.select("id", "x", "y", "c")).count() == 63
+
+
 def test_impute_falls_back_to_the_mean(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0), (2, 2.0, 20.0), (3, None, None)], "id bigint, x double, t double")
-    out = neighbours.knn_impute(df, df, "id", ["x", "t"], "t", "x", 1)
+    out = neighbours.knn_impute(df, df, "id", ["x", "t"], "t", 1)
     assert {r["id"]: r["t"] for r in out.collect()} == {1: 10.0, 2: 20.0, 3: 15.0}
 
 
 def test_knn_vote_ties_take_the_lowest_class(spark):
     train = spark.createDataFrame([(1, 0.0, 1), (2, 1.0, 0)], "id bigint, x double, y int")
     asks = spark.createDataFrame([(9, 0.4)], "id bigint, x double")
-    assert neighbours.knn_classify(asks, train, "id", ["x"], "y", "x", 2).first()["y_pred"] == 0
+    assert neighbours.knn_classify(asks, train, "id", ["x"], "y", 2).first()["y_pred"] == 0
 
 
 def test_training_learns_and_tunes(parts):
@@ -252,13 +282,39 @@ def test_run_promotes_then_keeps_the_better(spark, sf, tmp_path):
 
 
 def test_p_values(spark):
-    assert normal_two_sided(1.959963985) == pytest.approx(0.05, abs=1e-9)
-    for t, df, p in ((2.776445105, 4, 0.05), (12.7062047, 1, 0.05), (2.228138852, 10, 0.05), (0.0, 3, 1.0)):
-        assert student_two_sided(t, df) == pytest.approx(p, abs=1e-8)
+    z = [1.959963985, -1.959963985, 0.0, 2.999, 3.0, 6.0, 12.0, 37.0, float("nan"), None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(z)], "i int, z double").select("i", normal_p("z").alias("p")).orderBy("i").collect()
+    assert [r["p"] for r in rows[:8]] == pytest.approx([math.erfc(abs(x) / math.sqrt(2)) for x in z[:8]], rel=1e-9, abs=1e-300)
+    assert rows[8]["p"] is None and rows[9]["p"] is None
+    cases = [(2.776445105, 4, 0.05), (12.7062047, 1, 0.05), (2.228138852, 10, 0.05), (0.0, 3, 1.0), (1.960201264, 10000, 0.05), (1.962339, 1000, 0.05),
+             (4.302652730, 2, 0.05)]
+    got = spark.createDataFrame(cases, "t double, df bigint, want double").select(student_p("t", "df").alias("p"), "want").collect()
+    assert [r["p"] for r in got] == pytest.approx([r["want"] for r in got], abs=1e-6)
+    none = spark.createDataFrame([(1.0, 0), (None, 3), (1.0, None)], "t double, df bigint").select(student_p("t", "df")).collect()
+    assert [r[0] for r in none] == [None] * 3
     df = spark.createDataFrame([(1.959963985,)], "z double")
     assert monitoring.with_normal_p(df).first()["p_value"] == pytest.approx(0.05, abs=1e-9)
 
 
+def test_fingerprints_tell_cells_apart(spark):
+    from wickline.sources.snapshots import fingerprint
+
+    mark = lambda *rows: fingerprint(spark.createDataFrame(rows, "a string, b string")).first()["fingerprint"]
+    odd = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("\\N", "c"), ("-", "c"), ("", "c"), ("1:a", ""), ("", "1:a")]
+    assert len({mark(r) for r in odd}) == len(odd)
+    assert mark(*odd) == mark(*reversed(odd)) != mark(*odd, odd[0]) and "-" in mark(*odd)
+
+
+def test_pivot_refuses_what_is_not_listed(spark):
+    from wickline.operators.shaping import pivot_metric
+
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (2, "a", 4)], "k int, c string, n int")
+    assert sorted(map(tuple, pivot_metric(df, ["k"], "c", ["a", "b"], F.sum("n")).collect())) == [(1, 2, 3), (2, 4, None)]
+    for rows in (df, spark.createDataFrame([(1, "a", 2), (1, None, 3)], df.schema)):
+        with pytest.raises(Exception, match="not listed"):
+            pivot_metric(rows, ["k"], "c", ["a"], F.sum("n")).collect()
+
+
 def test_paired_t(spark):
     df = spark.createDataFrame([(0.9, 0.8), (0.8, 0.75), (0.85, 0.8)], "a double, b double")
     d = np.array([0.1, 0.05, 0.05])

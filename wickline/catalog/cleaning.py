@@ -50,8 +50,9 @@ def q_apply_threshold(spark, sf):
 
 
 def with_gaps(df):
-    """Volumes of zero read as missing."""
-    return df.withColumn("taker_buy_base_asset_volume", F.nullif("taker_buy_base_asset_volume", F.lit(0.0)))
+    """The volume of every seventh hour is missing."""
+    gone = F.expr(f"open_time div {d.HOUR_MS} % 7 = 0")
+    return df.withColumn("taker_buy_base_asset_volume", F.when(~gone, F.col("taker_buy_base_asset_volume")))
 
 
 def q_drop_missing(spark, sf):
@@ -143,7 +144,8 @@ def _stats(columns: list[str]) -> str:
                      for c in columns for f in ("sum", "avg", "max", "min"))
 
 
-_GAPPED = "select symbol, open_time, nullif(taker_buy_base_asset_volume, 0) as taker_buy_base_asset_volume from cleaned"
+_GAPPED = f"""select symbol, open_time, case when open_time // {d.HOUR_MS} % 7 <> 0 then taker_buy_base_asset_volume end
+  as taker_buy_base_asset_volume from cleaned"""
 ORACLES = {
     "cast_klines": f"""{_K} select utc_datetime, symbol, {_typed(True)}, updated_at,
   utc_datetime + interval 8 hour as utc_singapore_datetime from stamped""",

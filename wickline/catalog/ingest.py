@@ -173,8 +173,14 @@ _COLUMNS = {
     "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
 }
 _FEED = ", ".join(schemas.PAGE_COLUMNS)
-_ROW = "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '\\N')" for c in ["symbol", *schemas.PAGE_COLUMNS]) + ")"
-_DOC = "concat_ws('|', doc_id::varchar, coalesce(text,'\\N'), coalesce(lang,'\\N'), coalesce(source,'\\N'), n_chars::varchar)"
+def _row_text(columns) -> str:
+    return "concat(" + ", ".join(f"coalesce(length({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in columns) + ")"
+
+
+def _mark(columns) -> str:
+    parts = [f"sum(('0x' || substr(md5({_row_text(columns)}),{at},15))::bigint)::varchar" for at in (1, 16)]
+    return " || '-' || ".join(parts)
+
 
 ORACLES = {
     "candles": f"with {d.KLINES_SQL} select symbol, {_FEED} from klines",
@@ -204,8 +210,8 @@ select symbol, '1m' as "interval", page, s + page * 60000000 as start_time,
     "dataset_profile": " union all ".join(
         f"select '{t}' as source, {n} as cols, count(*) as rows from {t}" for t, n in _COLUMNS.items()),
     "dataset_fingerprint": f"""with {d.KLINES_SQL}
-select 'klines' as source, count(*) as rows, sum({d.md5_int(_ROW)})::varchar as fingerprint from klines
-union all select 'documents', count(*), sum({d.md5_int(_DOC)})::varchar from documents""",
+select 'klines' as source, count(*) as rows, {_mark(['symbol', *schemas.PAGE_COLUMNS])} as fingerprint from klines
+union all select 'documents', count(*), {_mark(['doc_id', 'text', 'lang', 'source', 'n_chars'])} from documents""",
     "read_version": f"with {d.KLINES_SQL} {SUMMARY_SQL} from klines where open_time < {d.SECOND_LOAD_MS} group by symbol",
     "promote_table": f"with {d.KLINES_SQL} select symbol, count(*) as rows, max(utc_datetime) as last from stamped group by symbol",
 }

@@ -16,8 +16,8 @@ GAP = "taker_buy_base_asset_volume"
 
 
 def gapped(spark, sf):
-    """Candles whose zero taker volume reads as missing."""
-    return d.numbered_klines(spark, sf).withColumn(GAP, F.nullif(GAP, F.lit(0.0)))
+    """Candles of which every seventeenth by its key lacks the taker volume."""
+    return d.numbered_klines(spark, sf).withColumn(GAP, F.when(F.col("id") % 17 != 0, F.col(GAP)))
 
 
 def parted_klines(spark, sf):
@@ -27,7 +27,7 @@ def parted_klines(spark, sf):
 
 def q_knn_impute(spark, sf):
     df = settled(gapped(spark, sf), "klines")
-    filled = neighbours.knn_impute(df, df, "id", [*NEAR, GAP], GAP, "open", 5)
+    filled = neighbours.knn_impute(df, df, "id", [*NEAR, GAP], GAP, 5)
     return d.rounded(filled.select("id", GAP))
 
 
@@ -35,7 +35,7 @@ def q_knn_classify(spark, sf):
     df = settled(d.numbered_klines(spark, sf), "klines")
     late = df.where(F.col("open_time") >= d.SECOND_LOAD_MS)
     early = df.where(F.col("open_time") < d.SECOND_LOAD_MS)
-    return neighbours.knn_classify(late, early, "id", [*NEAR, "number_of_trades"], "price_increase", "open", 8)
+    return neighbours.knn_classify(late, early, "id", [*NEAR, "number_of_trades"], "price_increase", 8)
 
 
 def q_mean_impute(spark, sf):
@@ -101,7 +101,7 @@ _TERMS, _SCALE = _distance(NEAR, 5)
 _TERMS5 = " + ".join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in [*NEAR, "number_of_trades"])
 _HOT = "select doc_id, lang, " + ", ".join(f"(lang = '{v}')::int as lang_{v}" for v in ("de", "en", "fr")) + " from documents"
 ORACLES = {
-    "knn_impute": f"""{_K}, g as (select id, {', '.join(NEAR)}, nullif({GAP}, 0) as v from cleaned),
+    "knn_impute": f"""{_K}, g as (select id, {', '.join(NEAR)}, case when id % 17 <> 0 then {GAP} end as v from cleaned),
 d as (select q.id, t.v, row_number() over (partition by q.id order by ({_TERMS}) * ({_SCALE}), t.id) as i
   from g q join g t on q.v is null and t.v is not null),
 f as (select id, avg(v) as v from d where i <= 5 group by 1)
@@ -110,7 +110,7 @@ select id, round(coalesce(g.v, f.v), 6) as {GAP} from g left join f using (id)""
     order by {_TERMS5}, t.id) as i from cleaned q join cleaned t on q.open_time >= {d.SECOND_LOAD_MS} and t.open_time < {d.SECOND_LOAD_MS}),
 v as (select id, c, count(*) as n from d where i <= 8 group by 1, 2)
 select id, c as y_pred, n as votes from (select *, row_number() over (partition by id order by n desc, c) as i from v) where i = 1""",
-    "mean_impute": f"""{_K}, g as (select id, nullif({GAP}, 0) as v from cleaned),
+    "mean_impute": f"""{_K}, g as (select id, case when id % 17 <> 0 then {GAP} end as v from cleaned),
 m as (select avg(v) as a, quantile_cont(v, 0.5) as b from g)
 select id, round(coalesce(v, a), 6) as by_mean, round(coalesce(v, b), 6) as by_median from g, m""",
     "standard_scale": f"""{_K}, {split_sql('cleaned', 'key', 'price_increase')},

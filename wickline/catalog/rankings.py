@@ -131,7 +131,10 @@ c as (select model, y, avg((y = y_pred)::int) as r, count(*) as n, sum((y = y_pr
 select model, round(sum(h) / sum(n), 6) as accuracy, round(avg(r), 6) as balanced_accuracy from c group by 1""",
     "union_pages": f"with {d.KLINES_SQL} select symbol, open_time, close, 2::bigint as copies from klines",
     "paired_t": f"""{_S}, b as (select event_type, ts::date as day, avg(((p >= 0.2e0)::int = y)::int)
-  - avg(((p >= 0.7e0)::int = y)::int) as x from scored group by 1, 2)
-select event_type, round(avg(x),6) + 0 as mean_diff, round(case when stddev_samp(x) = 0 then null else
-  avg(x) * sqrt(count(*)) / stddev_samp(x) end, 6) + 0 as t_stat, count(*) - 1 as df from b group by 1""",
+  - avg(((p >= 0.7e0)::int = y)::int) as x from scored group by 1, 2),
+t as (select event_type, avg(x) as m, case when stddev_samp(x) = 0 then null else avg(x) * sqrt(count(*)) / stddev_samp(x) end as t,
+  count(*) - 1 as df from b group by 1)
+select event_type, round(m,6) + 0 as mean_diff, round(t,6) + 0 as t_stat, df,
+  round(1 - 2 * abs(t) / 3000 * list_sum(list_transform(range(1001), lambda i: (case when i in (0, 1000) then 1 when i % 2 = 1 then 4 else 2 end)
+    * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + pow(t * i / 1000, 2) / df, -(df + 1) / 2))), 6) + 0 as p from t""",
 }

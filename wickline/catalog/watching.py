@@ -120,9 +120,14 @@ from customer""",
     "ab_test": f"""with u as (select user_id, max((event_type = 'purchase' and value > 200)::int) as c,
   {d.md5_int("'ab:' || user_id::varchar")} % 2 as v from events group by 1, 3),
 r as (select count(*) filter (v = 0) as n_a, coalesce(sum(c) filter (v = 0), 0)::bigint as x_a,
-  count(*) filter (v = 1) as n_b, coalesce(sum(c) filter (v = 1), 0)::bigint as x_b from u)
-select *, round(x_a / n_a,6) as rate_a, round(x_b / n_b,6) as rate_b, round(x_b / n_b - x_a / n_a,6) + 0 as lift,
-  round(case when x_a + x_b > 0 and x_a + x_b < n_a + n_b then (x_b / n_b - x_a / n_a) / sqrt((x_a + x_b) / (n_a + n_b) * (1 - (x_a + x_b) / (n_a + n_b)) * (1e0 / n_a + 1e0 / n_b)) end,6) + 0 as z from r""",
+  count(*) filter (v = 1) as n_b, coalesce(sum(c) filter (v = 1), 0)::bigint as x_b from u),
+t as (select *, case when x_a + x_b > 0 and x_a + x_b < n_a + n_b then (x_b / n_b - x_a / n_a)
+  / sqrt((x_a + x_b) / (n_a + n_b) * (1 - (x_a + x_b) / (n_a + n_b)) * (1e0 / n_a + 1e0 / n_b)) end as raw from r)
+select n_a, x_a, n_b, x_b, round(x_a / n_a,6) as rate_a, round(x_b / n_b,6) as rate_b, round(x_b / n_b - x_a / n_a,6) + 0 as lift,
+  round(raw,6) + 0 as z,
+  -- the density's integral to |z| by Simpson's rule
+  round(1 - 2 * abs(raw) / 3000 * list_sum(list_transform(range(1001), lambda i: (case when i in (0, 1000) then 1 when i % 2 = 1 then 4 else 2 end)
+    * exp(-pow(abs(raw) * i / 1000, 2) / 2) / sqrt(2 * pi()))), 6) + 0 as p from t""",
     "monitor_daily": f"""{_S} select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end, {_M}
 from scored group by 1, 2""",
     "monitor_sliding": f"""{_S}, w as (select *, date_trunc('day', ts) as window_start from scored

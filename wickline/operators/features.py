@@ -107,6 +107,16 @@ def preprocess_chain(train: DataFrame, numeric: Sequence[str] = tuple(schemas.FE
     return Pipeline(stages=stages).fit(train)
 
 
+def preprocess_by_neighbours(df: DataFrame, train: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+                             k: int = 5) -> tuple[DataFrame, PipelineModel]:
+    """``preprocess_chain`` with missing numbers filled from the ``k`` nearest training rows: the transformed rows of ``df`` and the
+    chain, which is fitted on the filled training rows and scales and encodes. Keys are whole numbers."""
+    from wickline.operators.neighbours import knn_impute_columns
+
+    chain = preprocess_chain(settled(knn_impute_columns(train, train, key, numeric, k), "filled"), numeric, categorical)
+    return chain.transform(knn_impute_columns(df, train, key, numeric, k)), chain
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """The d x d Pearson matrix from one aggregate pass."""
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]

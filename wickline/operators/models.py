@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.functions.hashing import hashed_uniform
+from wickline.functions.pvalues import student_p
 from wickline.operators.linear_block import bootstrap_weights, fit_linear_block, predict_linear_block
 from wickline.operators.features import numeric_stage, preprocess_chain
 from wickline.operators.metrics import overall_metrics, ranking_metrics
@@ -181,7 +182,7 @@ def spot_check(df: DataFrame, folds: Sequence[int], label: str = schemas.TARGET,
     for fold in folds:
         train, held = df.where(F.col(fold_column) != fold), df.where(F.col(fold_column) == fold)
         stage = numeric_stage(train, numeric)
-        near = knn_classify(stage.transform(held), stage.transform(train), key, scaled, label, scaled[0], k)
+        near = knn_classify(stage.transform(held), stage.transform(train), key, scaled, label, k)
         near = held.select(key, F.col(label).alias("y")).join(near, key, "left")
         for name, found in (("stratified", stratified_baseline(train, held, label, key)), ("neighbours", near)):
             parts.append(found.select(F.lit(name).alias("model"), F.lit(fold).alias(fold_column), key,
@@ -304,12 +305,13 @@ def cv_difference(scores: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def paired_t(pairs: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
-    """t of the mean difference with sample deviation, and its degrees of freedom."""
+    """t of the mean difference with sample deviation, its degrees of freedom and its two-sided ``p``."""
     diff = F.col(a) - F.col(b)
     one = pairs.groupBy(*by).agg(F.avg(diff).alias("mean_diff"), F.stddev_samp(diff).alias("sd"),
                                  F.count(diff).alias("k"))
-    return one.select(*by, "mean_diff", F.try_divide(F.col("mean_diff") * F.sqrt("k"), F.col("sd")).alias("t_stat"),
-                      (F.col("k") - 1).alias("df"))
+    measured = one.select(*by, "mean_diff", F.try_divide(F.col("mean_diff") * F.sqrt("k"), F.col("sd")).alias("t_stat"),
+                          (F.col("k") - 1).alias("df"))
+    return measured.withColumn("p", student_p("t_stat", "df"))
 
 
 def bias_variance_fit(train: DataFrame, test: DataFrame, key: str, rounds: int = 200, seed: int = 42,

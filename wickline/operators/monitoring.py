@@ -59,7 +59,7 @@ def monitor_rolling(windows: DataFrame, metric: str = "accuracy", length: int =
 
 
 def ab_test(df: DataFrame, variant: str, converted: str, control: str = "A", treatment: str = "B") -> DataFrame:
-    """Conversion rates, lift and the pooled two-proportion z, over one row per unit."""
+    """Conversion rates, lift, the pooled two-proportion z and its two-sided ``p``, over one row per unit."""
     def of(name: str, value: Column) -> Column:
         return F.coalesce(F.sum(F.when(F.col(variant) == name, value)), F.lit(0))
 
@@ -70,9 +70,10 @@ def ab_test(df: DataFrame, variant: str, converted: str, control: str = "A", tre
                              "__q": F.try_divide(F.col("x_a") + F.col("x_b"), F.col("n_a") + F.col("n_b"))})
     spread = F.sqrt(F.col("__q") * (F.lit(1.0) - F.col("__q"))
                     * (F.try_divide(F.lit(1.0), F.col("n_a")) + F.try_divide(F.lit(1.0), F.col("n_b"))))
-    return rates.select("n_a", "x_a", "n_b", "x_b", "rate_a", "rate_b",
-                        (F.col("rate_b") - F.col("rate_a")).alias("lift"),
-                        F.try_divide(F.col("rate_b") - F.col("rate_a"), spread).alias("z"))
+    measured = rates.select("n_a", "x_a", "n_b", "x_b", "rate_a", "rate_b",
+                            (F.col("rate_b") - F.col("rate_a")).alias("lift"),
+                            F.try_divide(F.col("rate_b") - F.col("rate_a"), spread).alias("z"))
+    return measured.withColumn("p", normal_p("z"))
 
 
 def with_normal_p(df: DataFrame, z: str = "z") -> DataFrame:

@@ -82,8 +82,11 @@ def rollup_candles(candles: DataFrame, unit: str, keys: Sequence[str] = ("symbol
 
 
 def pivot_metric(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str], measure: Column) -> DataFrame:
-    """One column per listed value; the list is given, so no extra pass looks for it."""
-    return df.groupBy(*rows).pivot(column, list(values)).agg(measure)
+    """One column per listed value; the list is given, so no extra pass looks for it. A value that is not listed, or a
+    missing one, is an error when the rows are read, as its rows would vanish."""
+    refuse = F.raise_error(F.concat(F.lit(f"{column} is not listed: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))
+    listed = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(refuse.cast(df.schema[column].dataType))
+    return df.withColumn(column, listed).groupBy(*rows).pivot(column, list(values)).agg(measure)
 
 
 def unpivot_metric(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "metric",
