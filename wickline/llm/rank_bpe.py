@@ -174,8 +174,10 @@ class RankBpe:
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, with blanks between, as a file without a decoder says. Unknown ids are left out."""
-        get = self.text_of.get
-        return " ".join([t for t in map(get, ids) if t is not None])
+        try:
+            return " ".join(map(self.text_of.__getitem__, ids))
+        except KeyError:
+            return " ".join([self.text_of[i] for i in ids if i in self.text_of])
 
 
 def share_vocabulary(spark: SparkSession, path: str):
@@ -210,11 +212,15 @@ def _decode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iter
 
 
 def _recode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iterator[pa.RecordBatch]:
-    encoded = (b.drop_columns("text") for b in _encode(batches, shared, [*names, "text"]))
-    for batch in _digest(_decode(encoded, shared, [*names, "ids"]), [*names, "ids", "decoded"]):
-        sizes = batch.column("ids").value_lengths().cast(pa.int64())
-        texts = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in batch.column("decoded").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), sizes, batch.column("ids_sha256"), pa.array(texts, pa.string())],
+    bpe = _bpe(shared)
+    for batch in batches:
+        sizes, digests, texts = [], [], []
+        for text in batch.column("text").to_pylist():
+            ids = bpe.encode(text or "")
+            sizes.append(len(ids))
+            digests.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+            texts.append(hashlib.sha256(bpe.decode(ids.tolist()).encode("utf-8", "surrogatepass")).hexdigest())
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sizes, pa.int64()), *(pa.array(x, pa.string()) for x in (digests, texts))],
                                          names=[*names, *RECODED])
 
 
