@@ -16,6 +16,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ REMEMBERED, CHARACTERS = 400_000, 16 << 20
 #: Pairs of ids up to which the counts are broadcast (16 bytes each); beyond, the rows' pairs are joined with them.
 MOST_PAIRS = 4_000_000
 COUNTED = "n_a long, n_b long, n_groups long, n_links long, groups string"
-#: Groups that one sum of link counts covers.
-COUNTED_AT_ONCE = 4 << 20
+#: Groups that one sum of link counts covers, and characters of new parts that are encoded together.
+COUNTED_AT_ONCE, AT_ONCE = 4 << 20, 1 << 16
 
 _loaded: dict[int, "Aligner"] = {}
 
@@ -56,6 +57,14 @@ def refined_ends(begins: list[int], ends: list[int], lengths: list[int]) -> list
     return out
 
 
+def sure_ends(places: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
+    """``refined_ends`` for many tokens at once, from their places as rows of begin and end."""
+    ends = np.cumsum(lengths)
+    begin, end = places[:, 0], places[:, 1]
+    sure = (begin < end) & (np.append(begin[1:], end[-1:]) >= end)
+    return ends if (ends[sure] == end[sure]).all() and (lengths > 0).all() else None
+
+
 def shared_ends(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> list[str]:
     """The ids between byte places where both tokenizers end, as ``a1,a2|b1``."""
     if ends_a == ends_b:
@@ -88,6 +97,9 @@ class Aligner:
         self.bytes_a |= {t["id"]: t["content"].encode() for t in parts["added_tokens"] if t["id"] not in self.bytes_a}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(META, " ").encode() for i, p in enumerate(pieces)]
+        self.lengths_a = np.zeros(max(self.bytes_a) + 1, dtype=np.int64)
+        self.lengths_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
+        self.lengths_b = np.array(list(map(len, self.bytes_b)), dtype=np.int64)
         cut = parts["pre_tokenizer"] or {}
         by_word = (parts["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
                    and not any(META in p.lstrip(META) for p in pieces))
@@ -106,10 +118,10 @@ class Aligner:
     def full(self) -> bool:
         return len(self.known) + len(self.pairs) >= REMEMBERED or self.characters >= CHARACTERS
 
-    def spans(self, part: str, b: dict | None = None) -> tuple[list[int], list[int], list[int], list[int]] | None:
+    def spans(self, part: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
         """Ids and byte ends in blank + part of either tokenizer; None where the tokens' bytes are others."""
         text = " " + part
-        a, b = self.a.encode(text, add_special_tokens=False), b or self.b.encode(part, return_type="offset_mapping", return_bytes=True)
+        a, b = self.a.encode(text, add_special_tokens=False), self.b.encode(part, return_type="offset_mapping", return_bytes=True)
         ids_a, ids_b, offsets = a.ids, b["ids"], a.offsets
         raw = text.encode("utf-8", "surrogatepass")
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
@@ -124,27 +136,87 @@ class Aligner:
         ends_b = refined_ends(begins, [x + 1 for _, x in b["offsets"]], [len(self.bytes_b[i]) for i in ids_b])
         return None if ends_a is None or ends_b is None else (ids_a, ends_a, ids_b, ends_b)
 
+    def _learn_one(self, part: str) -> None:
+        found = self.spans(part)
+        groups = shared_ends(*found) if found else []
+        self.known[part] = (len(found[0]), len(found[2]), len(groups), ";".join(groups)) if found else None
+
     def _learn(self, parts: list[str]) -> None:
-        for part, b in zip(parts, self.b.encode(parts, num_threads=1, return_type="offset_mapping", return_bytes=True)):
-            self.characters += len(part)
-            found = self.spans(part, b)
-            groups = shared_ends(*found) if found else []
-            self.known[part] = (len(found[0]), len(found[2]), len(groups), ";".join(groups)) if found else None
+        """Align new parts: those that stay apart when joined in one text of ``AT_ONCE`` characters, the others one by one."""
+        self.characters += sum(map(len, parts))
+        held, size = [], 0
+        for part in parts:
+            if not self.cut or not part or part[-1].isspace() or META in part:
+                self._learn_one(part)
+                continue
+            held.append(part)
+            size += len(part) + 1
+            if size > AT_ONCE:
+                self._learn_joined(held)
+                held, size = [], 0
+        if held:
+            self._learn_joined(held)
+
+    def _learn_joined(self, parts: list[str]) -> None:
+        text = " " + " ".join(parts)
+        a, b = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="offset_mapping", return_bytes=True)
+        raw = text.encode("utf-8", "surrogatepass")
+        ids_a, ids_b = a.ids, b["ids"]
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b)):
+            at_a, at_b = np.array(a.offsets, dtype=np.int64), np.array(b["offsets"], dtype=np.int64) + 1
+            at_b[0, 0] = 0  # the first piece begins with the blank that the model adds
+            if len(raw) != len(text):  # from characters to bytes
+                places = np.flatnonzero((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
+                at_a = np.append(places, len(raw))[at_a]
+            ends_a = sure_ends(at_a, self.lengths_a[ids_a])
+            ends_b = sure_ends(at_b, self.lengths_b[ids_b])
+            part_ends = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
+            if ends_a is not None and ends_b is not None:
+                common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+                last = np.searchsorted(common, part_ends)
+                if (last < len(common)).all() and (common[last] == part_ends).all():
+                    self._keep_joined(parts, ids_a, np.searchsorted(ends_a, common), ids_b, np.searchsorted(ends_b, common), last)
+                    return
+        for part in parts:
+            self._learn_one(part)
+
+    def _keep_joined(self, parts: list[str], ids_a: list[int], to_a: np.ndarray, ids_b: list[int], to_b: np.ndarray, last: np.ndarray) -> None:
+        """Remember the parts. ``to_a`` and ``to_b`` are the last tokens of each group, ``last`` the last group of each part."""
+        a, b = list(map(str, ids_a)), list(map(str, ids_b))
+        groups, i, j = [], 0, 0
+        for k, m in zip((to_a + 1).tolist(), (to_b + 1).tolist()):
+            groups.append(f"{a[i]}|{b[j]}" if k == i + 1 and m == j + 1 else f"{','.join(a[i:k])}|{','.join(b[j:m])}")
+            i, j = k, m
+        n_a, n_b, n_groups = (np.diff(x, prepend=-1).tolist() for x in (to_a[last], to_b[last], last))
+        first = 0
+        for part, x, y, z in zip(parts, n_a, n_b, n_groups):
+            self.known[part] = x, y, z, ";".join(groups[first:first + z])
+            first += z
+
+    def describe_all(self, texts: list[str | None]) -> list[tuple[int, int, int, str]]:
+        """Of each text: numbers of tokens of either kind and of groups, and the groups; nothing where the tokens' bytes
+        differ from the text."""
+        out, held, size = [], [], 0
+        for i, text in enumerate(texts):
+            held.append((self.cut.split(text) if self.cut else [text]) if text else [])
+            size += len(text or "")
+            if size > AT_ONCE * 16 or i + 1 == len(texts):
+                if self.full:
+                    self.clear()
+                if fresh := [w for w in dict.fromkeys(chain.from_iterable(held)) if w not in self.known]:
+                    self._learn(fresh)
+                for words in held:
+                    found = list(map(self.known.__getitem__, words))
+                    if not found or None in found:
+                        out.append((0, 0, 0, ""))
+                    else:
+                        n_a, n_b, n_groups, groups = zip(*found)
+                        out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups)))
+                held, size = [], 0
+        return out
 
     def describe(self, text: str | None) -> tuple[int, int, int, str]:
-        """Numbers of tokens of either kind and of groups, and the groups; nothing where the tokens' bytes differ from the text."""
-        if not text:
-            return 0, 0, 0, ""
-        words = self.cut.split(text) if self.cut else [text]
-        if self.full:
-            self.clear()
-        if fresh := [w for w in dict.fromkeys(words) if w not in self.known]:
-            self._learn(fresh)
-        found = [self.known[w] for w in words]
-        if None in found:
-            return 0, 0, 0, ""
-        n_a, n_b, n_groups, groups = zip(*found)
-        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups)
+        return self.describe_all([text])[0]
 
     def links(self, group: str) -> np.ndarray:
         """The pairs of ids, packed into one number, whose bytes overlap within a group."""
@@ -170,17 +242,25 @@ class Aligner:
         if not groups:
             return np.empty(0, np.int64)
         names, numbers = groups.split(";"), self.numbers
-        for name in set(names) - numbers.keys():
-            numbers[name] = len(self.pairs)
-            self.pairs.append(self.links(name))
-            self.characters += len(name)
-        return np.array([numbers[n] for n in names], dtype=np.int64)
+        try:
+            return np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+        except KeyError:
+            for name in set(names) - numbers.keys():
+                numbers[name] = len(self.pairs)
+                self.pairs.append(self.links(name))
+                self.characters += len(name)
+        return np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
 
     def pair_counts(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of ids, packed, and how many links of these groups hold them."""
         if not len(numbers):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        used, times = np.unique(numbers, return_counts=True)
+        if 8 * len(numbers) < len(self.pairs):
+            used, times = np.unique(numbers, return_counts=True)
+        else:
+            times = np.bincount(numbers)
+            used = np.flatnonzero(times)
+            times = times[used]
         held = [self.pairs[i] for i in used.tolist()]
         pairs, weights = np.concatenate(held), np.repeat(times, list(map(len, held)))
         order = np.argsort(pairs, kind="stable")
@@ -195,11 +275,13 @@ def share_tokenizers(spark: SparkSession, file: str, model: str):
         return spark.sparkContext.broadcast((a.read(), b.read()))
 
 
-def _aligner(shared) -> Aligner:
+def _aligner(shared, fresh: bool = True) -> Aligner:
+    """One per worker; without ``fresh`` it remembers the parts of the worker's earlier tasks."""
     name = hash(shared.value)
     if name not in _loaded:
         _loaded[name] = Aligner(*shared.value)
-    _loaded[name].clear()
+    if fresh:
+        _loaded[name].clear()
     return _loaded[name]
 
 
@@ -212,9 +294,9 @@ def _kept(frame: DataFrame) -> tuple[list[str], str]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iterator[pa.RecordBatch]:
-    aligner = _aligner(shared)
+    aligner = _aligner(shared, fresh=False)
     for batch in batches:
-        found = [aligner.describe(t) for t in batch.column("text").to_pylist()]
+        found = aligner.describe_all(batch.column("text").to_pylist())
         n = [[x[k] for x in found] for k in range(3)]
         # Every byte place where a token ends also ends one link.
         links = [a + b - g for a, b, g in zip(*n)]
