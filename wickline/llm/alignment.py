@@ -31,7 +31,7 @@ from wickline.session import fresh_path, settled
 
 META = "▁"
 #: Parts or groups that a worker remembers, and their characters together; the memory is emptied when either is reached.
-REMEMBERED, CHARACTERS = 400_000, 16 << 20
+REMEMBERED, CHARACTERS = 600_000, 24 << 20
 #: Pairs of ids up to which the counts are broadcast (16 bytes each); beyond, the rows' pairs are joined with them.
 MOST_PAIRS = 4_000_000
 COUNTED = "n_a long, n_b long, n_groups long, n_links long, groups string"
@@ -163,7 +163,8 @@ class Aligner:
         raw = text.encode("utf-8", "surrogatepass")
         ids_a, ids_b = a.ids, b["ids"]
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b)):
-            at_a, at_b = np.array(a.offsets, dtype=np.int64), np.array(b["offsets"], dtype=np.int64) + 1
+            at_a, at_b = (np.fromiter(chain.from_iterable(x), np.int64).reshape(-1, 2) for x in (a.offsets, b["offsets"]))
+            at_b += 1
             at_b[0, 0] = 0  # the first piece begins with the blank that the model adds
             if len(raw) != len(text):  # from characters to bytes
                 places = np.flatnonzero((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
