@@ -14,14 +14,14 @@ def bias_variance_summary(predictions: DataFrame, truth: DataFrame, loss: str =
     if loss not in ("0-1_loss", "mse"):
         raise ValueError(f"loss must be 0-1_loss or mse, not {loss}")
     if loss == "0-1_loss":
-        # A row's votes are gathered in one array, as many as there are rounds, so they are shuffled once.
-        rows = predictions.groupBy("test_id").agg(F.collect_list("pred").alias("preds")).join(truth, "test_id")
-        counts = F.transform(F.array_distinct("preds"), lambda c: F.struct(
-            (-F.size(F.filter("preds", lambda x: x == c))).alias("n"), c.alias("pred")))
-        n = F.size("preds")
-        main = rows.withColumn("top", F.array_min(counts)).select(
-            (F.col("top.pred") != F.col("y")).cast("double").alias("bias"), (F.lit(1.0) + F.col("top.n") / n).alias("variance"),
-            (F.size(F.filter("preds", lambda x: x != F.col("y"))) / n).alias("loss"))
+        # Counted per class first: where the rounds of a row come from one task, its votes collapse before any shuffle.
+        votes = predictions.groupBy("test_id", "pred").agg(F.count("*").alias("n"))
+        rows = votes.join(truth, "test_id").groupBy("test_id").agg(
+            F.min(F.struct((-F.col("n")).alias("n"), "pred")).alias("top"), F.first("y").alias("y"),
+            F.sum("n").alias("n"), F.sum(F.when(F.col("pred") != F.col("y"), F.col("n")).otherwise(F.lit(0))).alias("wrong"))
+        main = rows.select((F.col("top.pred") != F.col("y")).cast("double").alias("bias"),
+                           (F.lit(1.0) + F.col("top.n") / F.col("n")).alias("variance"),
+                           (F.col("wrong") / F.col("n")).alias("loss"))
     else:
         known = predictions.join(truth, "test_id")
         rows = known.groupBy("test_id").agg(
