@@ -98,6 +98,26 @@ def test_near_dedup_stage_links_at_80(spark):
     assert sum(w[2] for w in want.values()) + 5 < sum(w[2] for w in stricter.values())
 
 
+@pytest.mark.parametrize("held", [1 << 20, 300])
+def test_look_alikes_below_the_threshold_give_no_pair_rows(spark, monkeypatch, held):
+    """Members of one key that never link, with a few that do, which only the last round finds."""
+    monkeypatch.setattr(near_join, "BLOCK", 25)
+    monkeypatch.setattr(near_join, "BLOCK_SHINGLES", held)
+    made, settled = {}, near_join.settled
+    monkeypatch.setattr(near_join, "settled", lambda df, label: made.setdefault((label, len(made)), settled(df, label)))
+    monkeypatch.setattr(near_join, "discard", lambda *_: None)
+    rng = random.Random(11)
+    base = text_of(rng, 120)
+    texts = [edited(rng, base, 4) for _ in range(70)]
+    texts += [edited(rng, t, 1) for t in texts[:15]]
+    pairs = list(enumerate(texts))
+    want = brute_components(pairs, 85)
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_components(docs).collect()} == want
+    counts = {name: df.count() for (name, _), df in made.items() if name in ("meeting", "links")}
+    assert 30 < sum(w[2] for w in want.values()) and counts["meeting"] <= 2 * near_join.INDEXED * len(texts)
+
+
 def test_keys_and_distance_follow_the_percent():
     assert near_join.reach(80) == (10, 48) and near_join.reach(85) == near_join.reach(95) == (near_join.CHUNKS, 40)
 
@@ -117,6 +137,18 @@ def test_chunk_keys_find_every_pair_in_the_distance():
     assert (chunk_keys(one) == chunk_keys(two)).any(axis=1).all()
 
 
+def test_known_texts_of_equal_polynomial_hashes_stay_apart(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    swapped = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, swapped), (3, word)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_components(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    rest = " ".join(f"v{i}" for i in range(50))  # a passage of 51 words with the long one, which differs
+    rows = spark.createDataFrame([(1, f"{word} {rest}"), (2, f"{swapped} {rest}")], "doc_id long, text string")
+    assert all(r.n_removed == 0 for r in remove_repeats(rows, 1999, words=51).collect())
+
+
 def test_components_of_a_path_a_hub_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -165,6 +165,8 @@ def test_integer_vectors_leave_out_what_is_not_finite(spark):
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 1.0]), (6, [])]
     got = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert [(r.vec_id, r.vector) for r in got] == [(1, [128, -1]), (6, [])]
+    twice = spark.createDataFrame([(0, [1, 1])] * 2 + [(1, [3, 3]), (2, [2, 2])], "vec_id long, vector array<long>").repartition(3)
+    assert sorted(tuple(r) for r in topk.top_k(twice, F.col("vec_id") == 0).collect()) == [(0, 1, 1, 6), (0, 2, 2, 4)]
     big = [(0, [2 ** 40, 1]), (1, [2 ** 20, 3])]
     assert topk.top_k(spark.createDataFrame(big, "vec_id long, vector array<long>"), F.col("vec_id") == 0).first().score == 2 ** 60 + 3
 
@@ -214,6 +216,7 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(5))
     rows = [(i, " ".join(word() for _ in range(80)), "en", "s", 1) for i in range(20)]
     rows += [rows[3], (21, rows[3][1], None, None, None), (22, None, "en", "s", 0), (23, "", "en", "s", 0), (None, rows[4][1], "en", "s", 1), (None, None, None, None, None)]
+    rows += [(None, rows[5][1], "en", "s", 1)]  # holds the item, and has no id
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, rows[5][1])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))

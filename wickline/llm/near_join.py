@@ -11,7 +11,7 @@ shingle sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 from math import comb
 
 import numpy as np
@@ -33,6 +33,8 @@ NEAREST_ROUNDS = 2
 MOST_BROADCAST = 500_000
 #: Rows of one key that one task compares with each other; larger groups are cut into blocks of this size.
 BLOCK = 2000
+#: Shingles (8 bytes each) that one task holds of either side when sets are compared.
+BLOCK_SHINGLES = 1 << 20
 
 
 def reach(percent: int) -> tuple[int, int]:
@@ -107,43 +109,103 @@ def _keys(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
                  pa.array(np.repeat(batch.column(0).to_numpy(), n * WIDTH))], names=["key", "rep"])
 
 
-def _across(batches: Iterator[pa.RecordBatch], nearest: bool, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of an asking and a held row of one key and cell that lie in different components and whose signatures and
-    sizes are near.
+def _meetings(group: pa.Table, nearest: bool, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """An asking row, and the held ones of its key and cell that lie in other components and whose signatures and sizes
+    are near, as places in ``group``, with their distances.
 
-    With ``nearest`` each asking row gives its nearest one, else every pair comes once, from the first key that it shares.
+    With ``nearest`` each asking row meets its nearest one, else every pair meets once, at the first key that it shares.
     """
     n, furthest = reach(percent)
-    for group in groups_of(batches, ["key", "cell"]):
-        key, cell = group.column("key").to_numpy(), group.column("cell").to_numpy()
-        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
-        rep, comp, size = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
-        asks, apart_from_main = (group.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "apart_from_main"))
-        rows = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
-        found: list[tuple[np.ndarray, ...]] = []
-        for a, b in zip(starts, [*starts[1:], len(key)]):
-            asking, held = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
-            if not len(asking) or not len(held):
+    key, cell = group.column("key").to_numpy(), group.column("cell").to_numpy()
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
+    rep, comp, size = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
+    asks, apart_from_main = (group.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "apart_from_main"))
+    rows = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, VALUES)
+    for a, b in zip(starts, [*starts[1:], len(key)]):
+        asking, held = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
+        if not len(asking) or not len(held):
+            continue
+        against, keys = rows[held], None if nearest else chunk_keys(rows[held], n)
+        for i in asking:
+            fits = (comp[held] != comp[i]) & (100 * np.minimum(size[held], size[i]) >= percent * np.maximum(size[held], size[i]))
+            if not nearest:  # Two rows that both ask meet twice.
+                fits &= ~apart_from_main[held] | (rep[held] > rep[i])
+            other = np.flatnonzero(fits)
+            if not len(other):
                 continue
-            against, keys = rows[held], None if nearest else chunk_keys(rows[held], n)
-            for i in asking:
-                fits = (comp[held] != comp[i]) & (100 * np.minimum(size[held], size[i]) >= percent * np.maximum(size[held], size[i]))
-                if not nearest:  # Two rows that both ask meet twice.
-                    fits &= ~apart_from_main[held] | (rep[held] > rep[i])
-                other = np.flatnonzero(fits)
-                if len(other):
-                    apart = (against[other] != rows[i]).sum(axis=1)
-                    if nearest:
-                        best = int(apart.argmin())
-                        other, apart = other[best: best + 1], apart[best: best + 1]
-                    other, apart = other[apart <= furthest], apart[apart <= furthest]
-                    if not nearest and len(other):
-                        own = chunk_keys(rows[i: i + 1], n)[0]
-                        first = own[(keys[other] == own).argmax(axis=1)].view(np.int64) == key[i]
-                        other, apart = other[first], apart[first]
-                    found.append((np.full(len(other), rep[i]), rep[held[other]], apart))
+            apart = (against[other] != rows[i]).sum(axis=1)
+            if nearest:
+                best = int(apart.argmin())
+                other, apart = other[best: best + 1], apart[best: best + 1]
+            other, apart = other[apart <= furthest], apart[apart <= furthest]
+            if not nearest and len(other):
+                own = chunk_keys(rows[i: i + 1], n)[0]
+                first = own[(keys[other] == own).argmax(axis=1)].view(np.int64) == key[i]
+                other, apart = other[first], apart[first]
+            if len(other):
+                yield i, held[other], apart
+
+
+def _nearest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Each asking row with its nearest one."""
+    for group in groups_of(batches, ["key", "cell"]):
+        rep = group.column("rep").to_numpy()
+        found = [(rep[i], rep[other[0]], apart[0]) for i, other, apart in _meetings(group, True, percent)]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], names=["a", "b", "apart"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b", "apart"])
+
+
+def _meeting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows that meet another one in their key and cell, as they are."""
+    for group in groups_of(batches, ["key", "cell"]):
+        meets = np.zeros(group.num_rows, dtype=bool)
+        for i, other, _ in _meetings(group, False, percent):
+            meets[i] = meets[other] = True
+        yield from group.filter(pa.array(meets)).combine_chunks().to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The links among the rows of each key and cell, decided on their full sets."""
+    for group in groups_of(batches, ["key", "cell"]):
+        sets = group.column("shingles").combine_chunks()
+        ends = np.asarray(sets.offsets) - sets.offsets[0].as_py()
+        # The sets as small numbers, so that a set is marked in a table and all others are counted against it.
+        shared, flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        marked = np.zeros(len(shared), dtype=bool)
+        rep, found = group.column("rep").to_numpy(), []
+        for i, others, _ in _meetings(group, False, percent):
+            own = flat[ends[i]: ends[i + 1]]
+            marked[own] = True
+            for other in others:
+                theirs = flat[ends[other]: ends[other + 1]]
+                common = np.count_nonzero(marked[theirs])
+                if 100 * common >= percent * (len(own) + len(theirs) - common):
+                    found.append((min(rep[i], rep[other]), max(rep[i], rep[other])))
+            marked[own] = False
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+
+def _links_in_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) between rows of one cell. No pair becomes a row before it is known to be a link.
+
+    Rows without a near one are left out first. The others get their sets, once for each key in which they meet
+    one, and cells whose sets are too many for a task are cut again on both sides.
+    """
+    rows = settled(cells.mapInArrow(partial(_meeting, percent=percent), cells.schema), "meeting")
+    asks, many = F.col("asks"), lambda mine: F.greatest(
+        F.lit(1), F.ceil(F.sum(F.when(mine, F.col("n_shingles"))) / BLOCK_SHINGLES)).cast("long")
+    sizes = settled(rows.groupBy("key", "cell").agg(many(asks).alias("parts"), many(~asks).alias("blocks")), "weights")
+    dealt = F.pmod(F.xxhash64(F.lit(1), "rep"), F.when(asks, F.col("parts")).otherwise(F.col("blocks")))
+    cut = rows.join(sizes, ["key", "cell"]).withColumn("own", dealt).withColumn(
+        "met", F.explode(F.sequence(F.lit(0).cast("long"), F.when(asks, F.col("blocks")).otherwise(F.col("parts")) - 1)))
+    # A number by hash: two cells that get the same one are compared as one, which finds the same links.
+    cell = F.xxhash64("cell", F.when(asks, F.col("own")).otherwise(F.col("met")), F.when(asks, F.col("met")).otherwise(F.col("own")))
+    whole = cut.withColumn("cell", cell).drop("parts", "blocks", "own", "met").join(sets, "rep")
+    links = settled(whole.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(
+        partial(_linked, percent=percent), "a long, b long"), "links")
+    discard(cells.sparkSession, rows, sizes)
+    return links
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +259,7 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     Equal sets are one class first, so copies never meet as pairs. Each class is then compared with one first member
     of its keys, that of most of them, and in further rounds with the nearest one that its component does not hold
     yet. Where the members of a key are still in several components, all pairs between these follow that are near
-    enough, in blocks. So a group of g near copies costs about g comparisons, and no link is left out
+    enough: they are looked at inside their cell, which gives out links alone. So a group of g near copies costs about g comparisons, and no link is left out
     unless its ends are already connected.
     """
     if percent < LEAST_PERCENT:
@@ -223,20 +285,26 @@ def near_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     most = members.where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("n")).groupBy("rep").agg(
         F.max(F.struct("n", (-F.col("pivot")).alias("before"))).alias("m"))
     links = [_confirm(most.select((-F.col("m.before")).alias("a"), F.col("rep").alias("b")), sets, percent)]
-    groups = members.select("key", "rep", "size")
+    placed, groups = _placed(links[0]), members.select("key", "rep", "size")
     for turn in range(NEAREST_ROUNDS + 1):
-        near = _cells(groups, _placed(links), classes, turn < NEAREST_ROUNDS).mapInArrow(
-            partial(_across, nearest=turn < NEAREST_ROUNDS, percent=percent), "a long, b long, apart long")
+        cells = _cells(groups, placed, classes, turn < NEAREST_ROUNDS)
         if turn < NEAREST_ROUNDS:
-            near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("n")).select("a", "n.b")
-        links.append(_confirm(near, sets, percent))
-    by_class = classes.join(_placed(links), "rep", "left").select(*name, F.coalesce("component", "rep").alias("component"))
+            near = cells.mapInArrow(partial(_nearest, percent=percent), "a long, b long, apart long").groupBy("a").agg(
+                F.min(F.struct("apart", "b")).alias("n")).select("a", "n.b")
+            links.append(_confirm(near, sets, percent))
+        else:
+            links.append(_links_in_cells(cells, sets, percent))
+        placed = _placed(links[-1], placed)
+    by_class = classes.join(placed, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component"))
     out = signed.join(by_class, name, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     discard(spark, shared, members, sets, ids, *links)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _placed(links: list[DataFrame]) -> DataFrame:
-    edges = reduce(DataFrame.union, links).select(F.col("a").alias("u"), F.col("b").alias("v"))
+def _placed(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The component of each linked row, from new links and the components so far."""
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if before is not None:
+        edges = edges.union(before.select(F.col("rep").alias("u"), F.col("component").alias("v")))
     return components(edges).withColumnRenamed("node", "rep")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
+PRIME, PRIME_BASE = (1 << 31) - 1, 1_103_515_245
 CHUNK = 1 << 20
 SHINGLE = 5
 LOW_BITS = np.uint64((1 << 21) - 1)
@@ -36,15 +37,20 @@ def discard(spark: SparkSession, *frames: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64 for i below ``n``."""
+def powers(n: int) -> tuple[np.ndarray, ...]:
+    """BASE^i and BASE^-i modulo 2^64, and the same of PRIME_BASE modulo PRIME, for i below ``n``."""
     if len(_tables.get("up", ())) < n:
         size = max(n, CHUNK + 4096)
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
             _tables[name] = np.cumprod(steps)
-    return _tables["up"][:n], _tables["down"][:n]
+        for name, base in (("prime_up", PRIME_BASE), ("prime_down", pow(PRIME_BASE, -1, PRIME))):
+            steps = np.ones(1, dtype=np.uint64)
+            while len(steps) < size:  # doubled, as a running product would overflow
+                steps = np.concatenate([steps, steps * np.uint64(pow(base, len(steps), PRIME)) % np.uint64(PRIME)])
+            _tables[name] = steps[:size]
+    return tuple(_tables[name][:n] for name in ("up", "down", "prime_up", "prime_down"))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -56,17 +62,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def prefix_sums(buffer: np.ndarray) -> np.ndarray:
-    up, _ = powers(len(buffer))
-    sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    return sums
+def prefix_sums(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of two polynomials over the bytes: modulo 2^64, and modulo a prime.
 
+    The first alone is the same for known texts, as Thue-Morse words and their complements; the second is not.
+    """
+    up, _, prime_up, _ = powers(len(buffer))
+    sums, others = (np.zeros(len(buffer) + 1, dtype=np.uint64) for _ in range(2))
+    value = buffer.astype(np.uint64) + np.uint64(1)
+    np.cumsum(value * up, out=sums[1:])
+    np.cumsum(value * prime_up % np.uint64(PRIME), out=others[1:])  # below 2^64 for texts up to 8 GB
+    return sums, others
 
-def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+
+def span_hashes(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each span [start, end) that depends on its bytes alone."""
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start])
+    _, down, _, prime_down = powers(len(sums[0]))
+    other = (sums[1][end] - sums[1][start]) % np.uint64(PRIME) * prime_down[start] % np.uint64(PRIME)
+    return mix((sums[0][end] - sums[0][start]) * down[start] ^ mix(other))
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -94,7 +107,7 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def word_spans(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple[np.ndarray, ...]:
+def word_spans(texts: list[bytes], is_space: np.ndarray = SPACE) -> tuple:
     """Prefix sums over all texts, begin and end of their words in order, and where each text's words begin."""
     buffer = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     space = is_space[buffer]
