@@ -135,9 +135,9 @@ OP6_SQL = """
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
-    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT q.vec_id AS query_id, q.e AS asked, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+        FROM (SELECT DISTINCT vec_id, e FROM v) q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id)::INT AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 

@@ -66,19 +66,20 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def _search(asked: pa.Table, block: pa.Table, k: int) -> pa.Table:
     """The k best of one block of candidates for each query of one block."""
-    out: list[list] = [[], [], []]
+    out: list[list] = [[], [], [], []]
     if asked.num_rows and block.num_rows:
         queries, rows = _matrix(asked.column("vector")), _matrix(block.column("vector"))
         widest = int(np.abs(queries).max()) * int(np.abs(rows).max()) * queries.shape[1] if queries.size else 0
         if widest < 1 << 53:  # exact in floating point, which multiplies faster
             queries, rows = queries.astype(np.float64), rows.astype(np.float64)
         lists = SortedLists(block.column("vec_id").to_numpy(), rows)
-        for own, query in zip(asked.column("vec_id").to_numpy(), queries):
+        for own, ask, query in zip(asked.column("vec_id").to_numpy(), asked.column("ask").to_numpy(), queries):
             best, scores = lists.search(query, own, k)
             out[0].extend([own] * len(best))
             out[1].extend(lists.ids[best].tolist())
             out[2].extend(int(s) for s in scores)
-    return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
+            out[3].extend([ask] * len(best))
+    return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score", "ask"])
 
 
 def integer_vectors(rows: DataFrame, vector: str = "embedding", scale: int = 256) -> DataFrame:
@@ -96,25 +97,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     ``vectors`` has vec_id and ``vector`` (longs). Only vectors of the query's length are its candidates. Ties go
     to the smaller vec_id; a query with fewer candidates gets them all; a repeated row is a candidate for each
-    repetition. An empty table, or one without queries, gives an empty result.
+    repetition, but asks once. Rows of one id and different vectors ask apart, each with ranks of its own. An empty
+    table, or one without queries, gives an empty result.
 
     Rows and queries are dealt into blocks of bounded size by a hash, so a third of equal vectors spreads out, and
     every block of queries meets every block of rows. The k best of each meeting are then ranked.
     """
     small_batches(vectors.sparkSession)
     vectors = vectors.withColumn("dims", F.size("vector"))
-    queries = vectors.where(is_query)
+    queries = vectors.where(is_query).select("dims", "vec_id", "vector").distinct().withColumn("ask", F.xxhash64("vec_id", "vector"))
     n, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = -(-max(n, 1) // CANDIDATES), -(-max(n_queries, 1) // QUERIES)
     blocks = max(blocks, min(6, n // 1024))
     salt = lambda count: F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    asked = queries.select("dims", "vec_id", "vector", salt(query_blocks).alias("q")).withColumn("b", every(blocks))
+    asked = queries.withColumn("q", F.pmod("ask", F.lit(query_blocks)).cast("int")).withColumn("b", every(blocks))
     rows = vectors.select("dims", "vec_id", "vector", salt(blocks).alias("b")).withColumn("q", every(query_blocks))
     names = ["dims", "q", "b"]
     met = asked.groupBy(*names).cogroup(rows.groupBy(*names)).applyInArrow(
-        lambda key, asked, block: _search(asked, block, k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        lambda key, asked, block: _search(asked, block, k), "query_id long, vec_id long, score long, ask long")
+    order = Window.partitionBy("query_id", "ask").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
