@@ -39,9 +39,11 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item, also those that are shorter than it."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark"), 0.8, short=True).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark item, also those that are shorter than it. A row of null id is known by its text."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    named = docs.select(name.alias("doc_id"), "text")
+    found = leaks(named, table(spark, sf_dir, "benchmark"), 0.8, short=True).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(found, name == F.col("leaked"), "left_anti")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
