@@ -216,9 +216,10 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(5))
     rows = [(i, " ".join(word() for _ in range(80)), "en", "s", 1) for i in range(20)]
     rows += [rows[3], (21, rows[3][1], None, None, None), (22, None, "en", "s", 0), (23, "", "en", "s", 0), (None, rows[4][1], "en", "s", 1), (None, None, None, None, None)]
-    rows += [(None, rows[5][1], "en", "s", 1)]  # holds the item, and has no id
+    leaked = " ".join(word() for _ in range(80))
+    rows += [(None, leaked, "en", "s", 1)]  # holds an item, and has no id
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    spark.createDataFrame([(1, rows[5][1])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, rows[5][1]), (2, leaked)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert sorted(i for i in got if i is not None) == [i for i in [*range(20), 22, 23] if i != 5] and got.count(None) == 2
