@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
@@ -13,6 +13,7 @@ from wickline.operators.metrics import overall_metrics
 from wickline.operators.resampling import group_kfold
 from wickline.plans.dataops import days_behind
 from wickline.sources.kline_pages import parse_kline_pages, read_kline_pages, write_kline_pages
+from wickline.streaming.sources import close_stream
 
 NAMES = ", ".join(f"{c} {'long' if c in schemas.PAGE_INTEGERS else 'string'}" for c in schemas.PAGE_COLUMNS)
 
@@ -57,3 +58,21 @@ def test_a_cluster_needs_a_shared_folder(spark):
     cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn", getConf=lambda: conf, applicationId="x"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(cluster)
+
+
+def test_an_ended_stream_keeps_its_last_windows_and_goes_on(spark, tmp_path):
+    schema = "ts timestamp, n long"
+    landed = str(tmp_path / "landed")
+    land = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landed)
+    at = lambda h, m: datetime(2024, 1, 1, h, m)
+
+    def totals():
+        rows = spark.readStream.schema(schema).parquet(landed).withWatermark("ts", "10 minutes")
+        sums = rows.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.sum("n").alias("n")).select("w.start", "n")
+        return sorted((r.start.hour, r.n) for r in close_stream(sums, ["start"], str(tmp_path / "out"), str(tmp_path / "check")).collect())
+
+    land([(at(1, 5), 1), (at(1, 50), 2), (at(2, 0), 4)])
+    assert totals() == [(1, 3), (2, 4)]
+    assert totals() == [(1, 3), (2, 4)]
+    land([(at(2, 30), 8), (at(3, 1), 16)])
+    assert totals() == [(1, 3), (2, 12), (3, 16)]

@@ -16,7 +16,7 @@ from wickline.sources.kline_pages import write_kline_pages
 from wickline.streaming.candles import stream_candles
 from wickline.streaming.ingest import ingest_stream
 from wickline.streaming.performance import match_labels, monitor_stream, windowed_performance
-from wickline.streaming.sources import append_stream, stream_files
+from wickline.streaming.sources import append_stream, close_stream, stream_files
 
 
 def _events(spark, sf):
@@ -30,6 +30,10 @@ def _run(spark, df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _closed(spark, df, keys, label):
+    return close_stream(df, keys, fresh_path(spark, label), fresh_path(spark, f"{label}-checkpoint"))
+
+
 def _scored(df):
     p = F.col("value") / F.lit(600.0)
     return df.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
@@ -39,11 +43,11 @@ def _scored(df):
 
 def q_stream_candles(spark, sf):
     candles = stream_candles(d.ticks(_events(spark, sf)), "1 hour", d.HOUR_MS, "10 minutes")
-    return _run(spark, candles, "candles")
+    return _closed(spark, candles, ["symbol", "open_time"], "candles")
 
 
 def q_stream_monitor(spark, sf):
-    out = _run(spark, monitor_stream(_scored(_events(spark, sf)), "2 hours"), "monitor")
+    out = _closed(spark, monitor_stream(_scored(_events(spark, sf)), "2 hours"), ["window_start"], "monitor")
     return d.rounded(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
@@ -86,10 +90,8 @@ QUERIES = {
 _M = (f"count(*) as rows, round(avg((y = y_pred)::int),6) as accuracy, round({_LOSS2},6) as log_loss, "
       "round(avg(pow(p - y, 2)),6) as brier_score")
 ORACLES = {
-    "stream_candles": f"""with {d.KLINES_SQL} select symbol, {', '.join(schemas.PAGE_COLUMNS)} from klines
-where make_timestamp((close_time + 1) * 1000) <= (select max(ts) from events) - interval 10 minute""",
-    "stream_monitor": f"""with {d.SCORED_SQL} select date_trunc('day', ts) as window_start, {_M} from scored
-where date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 2 hour group by 1""",
+    "stream_candles": f"""with {d.KLINES_SQL} select symbol, {', '.join(schemas.PAGE_COLUMNS)} from klines""",
+    "stream_monitor": f"""with {d.SCORED_SQL} select date_trunc('day', ts) as window_start, {_M} from scored group by 1""",
     "stream_performance": f"""with {d.SCORED_SQL} select date_trunc('day', ts) as window_start, {_M} from scored group by 1""",
     "stream_score": """select l_orderkey, l_linenumber, l_shipdate,
   round(1e0 / (1e0 + exp(-(((-0.5e0 + 0.02e0 * l_quantity) + 8e0 * l_discount) + -10e0 * l_tax))), 6) as p from lineitem""",
