@@ -8,6 +8,7 @@ import random
 import re
 import string
 import sys
+import textwrap
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,17 @@ def test_licences(spark):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * "])
+def test_licences_wrapped_over_lines_and_in_comments(spark, mark):
+    longest = {}
+    for name, ids in licenses.RULES:
+        longest[name] = max(longest.get(name, []), ids, key=len)
+    wrap = lambda x: "\n".join(mark + line for line in textwrap.wrap(x, 72, break_on_hyphens=False))
+    texts = [f"\n{mark.rstrip()}\n".join(wrap(licenses.SENTENCES[i] + ".") for i in ids) for ids in longest.values()]
+    got = licences_of(spark, texts)
+    assert [got[i] for i in range(len(texts))] == [[(name, len(ids))] for name, ids in longest.items()]
+
+
 def changes(spark, rows):
     return token_rollup.signed(spark.createDataFrame(
         rows, "change string, source string, lang string, tokenizer string, old_tokens long, new_tokens long"))

@@ -72,6 +72,12 @@ def normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
+def unwrapped(text: Column) -> Column:
+    """A text without comment marks before its lines, and with the lines of each paragraph in one."""
+    bare = F.regexp_replace(text, r"(^|\n)[ \t]*(?:#+|/{2,}|/?\*+/?|--+|;+)[ \t]*", "$1")
+    return F.regexp_replace(bare, r"\r?\n[ \t]*([^ \t\r\n])", " $1")
+
+
 def sentences(text: Column) -> Column:
     """The normalised sentences of a text in order.
 
@@ -103,6 +109,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, rules: DataFr
     rule's, is dropped. Documents without a match, null and empty texts give no row. Rows that repeat both id
     and text give theirs once; ids may be null; other columns are ignored; an empty table gives an empty result.
 
+    Every text is read twice, by its lines and ``unwrapped``, as a notice may be a line among others or be wrapped
+    over lines of a comment. Of each licence the matches of the reading with its longest one count, of equal ones
+    those by lines; first_sentence is the place in that reading.
+
     A known text of several sentences counts as its first one: the others must be given ids of their own.
     """
     spark = docs.sparkSession
@@ -112,14 +122,18 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, rules: DataFr
     ids = known.select("sentence_id", first.alias("sentence")).where("sentence is not null").dropDuplicates(["sentence", "sentence_id"])
     ids = F.broadcast(ids) if known.count() <= MOST_BROADCAST else ids
     row = [F.xxhash64("doc_id", "text").alias("row_a"), F.xxhash64(F.lit(7), "text", "doc_id").alias("row_b")]
-    said = docs.select(*row, "doc_id", F.posexplode(sentences(F.col("text"))).alias("place", "sentence")).withColumn("sentence", F.trim("sentence"))
-    found = said.join(ids, "sentence").select("row_a", "row_b", "doc_id", "place", "sentence_id").distinct()
-    order = F.dense_rank().over(Window.partitionBy("row_a", "row_b").orderBy("place"))
+    readings = F.posexplode(F.array(sentences(F.col("text")), sentences(unwrapped(F.col("text"))))).alias("reading", "parts")
+    said = docs.select(*row, "doc_id", readings).select(
+        "row_a", "row_b", "doc_id", "reading", F.posexplode("parts").alias("place", "sentence")).withColumn("sentence", F.trim("sentence"))
+    found = said.join(ids, "sentence").select("row_a", "row_b", "doc_id", "reading", "place", "sentence_id").distinct()
+    order = F.dense_rank().over(Window.partitionBy("row_a", "row_b", "reading").orderBy("place"))
     steps = rules.select("rule", "licence", F.size("ids").alias("n"), F.posexplode("ids").alias("step", "sentence_id"))
     met = found.withColumn("k", order).join(F.broadcast(steps) if rules.count() <= MOST_BROADCAST else steps, "sentence_id")
-    whole = met.groupBy("row_a", "row_b", "doc_id", "rule", "licence", "n", (F.col("k") - F.col("step")).alias("begin")).agg(
+    whole = met.groupBy("row_a", "row_b", "doc_id", "reading", "rule", "licence", "n", (F.col("k") - F.col("step")).alias("begin")).agg(
         F.countDistinct("step").alias("steps"), F.min("place").alias("first_sentence")).where("steps = n")
-    earlier = Window.partitionBy("row_a", "row_b").orderBy("begin", F.desc("n"), "rule").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("row_a", "row_b", "reading").orderBy("begin", F.desc("n"), "rule").rowsBetween(Window.unboundedPreceding, -1)
     outer = F.max(F.col("begin") + F.col("n")).over(earlier)
-    return whole.withColumn("outer", outer).where("outer is null or outer < begin + n").select(
+    best = F.max(F.struct("n", (-F.col("reading")).alias("before"))).over(Window.partitionBy("row_a", "row_b", "licence"))
+    return whole.withColumn("outer", outer).where("outer is null or outer < begin + n").withColumn("best", best).where(
+        "best.before = -reading").select(
         "doc_id", "licence", "rule", "first_sentence", F.col("n").alias("n_sentences"))

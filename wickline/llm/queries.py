@@ -36,6 +36,8 @@ _STEPS = [(i, name, len(ids), k, x) for i, (name, ids) in enumerate([*RULES, *((
 _CUT = """list_transform(string_split(regexp_replace(lower(regexp_replace(regexp_replace(
     {}, '\\r?\\n[ \\t]*([a-z(])', ' \\1', 'g'), '[.!?;:]+[ \\t\\r\\n]+|[\\r\\n]+', chr(10), 'g')), '[^a-z0-9\\n]+', ' ', 'g'), chr(10)),
     lambda s: trim(s))"""
+_UNWRAPPED = """regexp_replace(regexp_replace(text, '(^|\\n)[ \\t]*(?:#+|/{2,}|/?\\*+/?|--+|;+)[ \\t]*', '\\1', 'g'),
+    '\\r?\\n[ \\t]*([^ \\t\\r\\n])', ' \\1', 'g')"""
 OP1_SQL = f"""
     WITH known AS (
         SELECT sentence_id, list_filter({_CUT.format('sentence')}, lambda s: s <> '')[1] AS sentence
@@ -44,19 +46,23 @@ OP1_SQL = f"""
         SELECT * FROM (VALUES {', '.join(f"({i}, {_literal(name)}, {n}, {k}, {_literal(x)})" for i, name, n, k, x in _STEPS)})
         AS v(rule, licence, n, step, sentence_id)),
     said AS (
-        SELECT doc_id, unnest(parts) AS sentence, unnest(range(len(parts))) AS place
-        FROM (SELECT doc_id, {_CUT.format('text')} AS parts FROM documents)),
+        SELECT doc_id, reading, unnest(parts) AS sentence, unnest(range(len(parts))) AS place
+        FROM (SELECT doc_id, 0 AS reading, {_CUT.format('text')} AS parts FROM documents
+              UNION ALL SELECT doc_id, 1, {_CUT.format(_UNWRAPPED)} FROM documents)),
     found AS (
-        SELECT doc_id, place, sentence_id, dense_rank() OVER (PARTITION BY doc_id ORDER BY place) AS k
+        SELECT doc_id, reading, place, sentence_id, dense_rank() OVER (PARTITION BY doc_id, reading ORDER BY place) AS k
         FROM said JOIN known USING (sentence)),
     whole AS (
-        SELECT doc_id, rule, licence, n, k - step AS b, min(place) AS first_sentence
+        SELECT doc_id, reading, rule, licence, n, k - step AS b, min(place) AS first_sentence
         FROM found JOIN steps USING (sentence_id) GROUP BY ALL HAVING count(DISTINCT step) = n),
     ordered AS (
-        SELECT *, max(b + n) OVER (PARTITION BY doc_id ORDER BY b, n DESC, rule
-                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS outer_end FROM whole)
+        SELECT *, max(b + n) OVER (PARTITION BY doc_id, reading ORDER BY b, n DESC, rule
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS outer_end FROM whole),
+    kept AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id, licence ORDER BY n DESC, reading) AS r
+        FROM ordered WHERE outer_end IS NULL OR outer_end < b + n)
     SELECT doc_id, licence, rule, first_sentence::INT AS first_sentence, n AS n_sentences
-    FROM ordered WHERE outer_end IS NULL OR outer_end < b + n
+    FROM kept JOIN (SELECT doc_id, licence, reading FROM kept WHERE r = 1) USING (doc_id, licence, reading)
 """
 
 
