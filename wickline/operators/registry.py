@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wickline.sources.paths import create_once
+
 PRODUCTION, STAGING, ARCHIVED = "Production", "Staging", "Archived"
 
 
@@ -20,6 +22,12 @@ def log_metrics(run: str, step: int | None, wide: DataFrame) -> DataFrame:
                        F.col("value").cast("double").alias("value"))
 
 
+def log_params(run: str, wide: DataFrame) -> DataFrame:
+    """Parameter columns of one row as (run_id, name, value) texts, ready to append; a missing value stays missing."""
+    texts = wide.select(*[F.col(c).cast("string").alias(c) for c in wide.columns])
+    return texts.unpivot([], texts.columns, "name", "value").select(F.lit(run).alias("run_id"), "name", "value")
+
+
 def latest_metrics(metrics: DataFrame) -> DataFrame:
     """The value at the last step of each metric of each run (the greater value if a step was logged twice)."""
     last = F.max(F.struct("step", "value")).alias("last")
@@ -33,6 +41,34 @@ def next_version(registry: DataFrame, candidates: DataFrame) -> DataFrame:
         *candidates.columns, (F.coalesce("top", F.lit(0)) + 1).alias("version"))
 
 
+def claim_version(spark: SparkSession, root: str, name: str, run_id: str, first: int = 1,
+                  tags: Mapping[str, str] | None = None) -> int:
+    """Take the lowest free version of a name, from ``first`` on, for a run: each version is a file that one run makes.
+
+    Two runs at once get two versions. A run that asks again gets the version that it has. The file holds the
+    run's id and its tags.
+    """
+    claim = json.dumps({"run_id": run_id, "tags": dict(tags or {})}, sort_keys=True)
+    version = first
+    while not create_once(spark, _claim(root, name, version), claim):
+        taken = spark.read.text(_claim(root, name, version), wholetext=True).first()
+        if taken is not None and taken["value"] == claim:
+            break
+        version += 1
+    return version
+
+
+def _claim(root: str, name: str, version: int) -> str:
+    return f"{root}/claims/{name.encode().hex()}/{version}.json"
+
+
+def version_tags(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(version, run_id, tag, value) of every claimed version; one row with missing tag where a version has none."""
+    claims = spark.read.schema("run_id string, tags map<string, string>").option("mode", "FAILFAST").json(f"{root}/claims/{name.encode().hex()}")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)", 1).cast("int")
+    return claims.select(number.alias("version"), "run_id", F.explode_outer("tags").alias("tag", "value"))
+
+
 def current_stage(registry: DataFrame) -> DataFrame:
     """The latest stage of every (name, version); the later run id wins within one instant."""
     last = F.max(F.struct("changed_at", "run_id", "stage")).alias("last")
@@ -93,8 +129,6 @@ def check_signature(df: DataFrame, signature: str) -> list[str]:
 def save_model(model: PipelineModel, path: str, signature: str | None = None) -> None:
     model.write().save(path)
     if signature is not None:
-        from pyspark.sql import SparkSession
-
         spark = SparkSession.active()
         spark.createDataFrame([(signature,)], "value string").coalesce(1).write.text(f"{path}-signature")
 
@@ -104,6 +138,4 @@ def load_model(path: str) -> PipelineModel:
 
 
 def load_signature(path: str) -> str:
-    from pyspark.sql import SparkSession
-
     return SparkSession.active().read.text(f"{path}-signature").first()["value"]

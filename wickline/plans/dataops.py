@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from wickline.operators.quality import ensure_valid, validate_frame
 from wickline.operators.shaping import dedupe_latest
 from wickline.small import fetch_if_small
 from wickline.sources import snapshots, tables
+from wickline.sources.file_index import FileIndex
 from wickline.sources.kline_pages import read_kline_pages
 
 
@@ -38,6 +39,21 @@ class Market:
     def transformed(self) -> str:
         return f"{self.dataset}.{self.transformed_table}"
 
+    @property
+    def raw_index(self) -> FileIndex:
+        return _index(f"{self.root}/index/{self.raw_table}", F.col("open_time").cast("long"))
+
+    @property
+    def transformed_index(self) -> FileIndex:
+        return _index(f"{self.root}/index/{self.transformed_table}", F.unix_millis(F.col("open_time").cast("timestamp")))
+
+
+def _index(path: str, millis: Column) -> FileIndex:
+    """Of each file, day and symbol: the newest time, the rows and the sum of their keys' hashes."""
+    return FileIndex(path, {"day": F.col("day"), "symbol": F.col("symbol")}, {
+        "newest": (millis, "max"), "rows": (F.lit(1).cast("long"), "sum"),
+        "mark": (F.xxhash64("symbol", millis).cast("decimal(20,0)"), "sum")})
+
 
 def with_day(df: DataFrame) -> DataFrame:
     """Partition column: the UTC day of the candle."""
@@ -93,10 +109,21 @@ def days_behind(raw: DataFrame, transformed: DataFrame) -> list | None:
     return None if rows is None else [r["day"] for r in rows]
 
 
+def lagging_days(spark: SparkSession, market: Market) -> list | None:
+    """``days_behind`` from the file indexes of a market's tables. Copies in one table make a day differ here, which
+    costs a look at it and no more."""
+    described = lambda index, table, name: index.read(spark.table(table)).groupBy("day").agg(
+        F.struct(F.sum("rows"), F.sum("mark")).alias(name))
+    a, b = described(market.raw_index, market.raw, "r"), described(market.transformed_index, market.transformed, "t")
+    uneven = a.join(b, "day", "left").where(~F.col("r").eqNullSafe(F.col("t")))
+    rows = fetch_if_small(uneven.select("day"))
+    return None if rows is None else [r["day"] for r in rows]
+
+
 def transform_pending(spark: SparkSession, market: Market) -> int:
     """Cast every raw row that has no transformed row, validate and append; only lagging days are read."""
     raw, transformed = spark.table(market.raw), spark.table(market.transformed)
-    days = days_behind(raw, transformed)
+    days = lagging_days(spark, market)
     if days == []:
         return 0
     if days is not None:
@@ -132,11 +159,13 @@ def incremental_load(spark: SparkSession, pages_path: str, market: Market, run_t
                      landed_after: datetime | None = None) -> dict:
     """Load what lies beyond each series' watermark; running it again on the same pages adds nothing.
 
-    With ``landed_after``, usually the start of the run before, only files landed since are read.
+    With ``landed_after``, usually the start of the run before, only files landed since are read. The watermarks come
+    from the raw table's file index: of the files loaded before, none is opened but those of days that get new rows.
     """
     began = time.time()
     pages = read_kline_pages(spark, pages_path, landed_after=landed_after)
-    fresh = incremental_slice(pages, spark.table(market.raw), market.interval_ms)
+    loaded = market.raw_index.read(spark.table(market.raw)).select("symbol", F.col("newest").alias("open_time"))
+    fresh = incremental_slice(pages, loaded, market.interval_ms)
     n = load_raw(fresh.select("symbol", *schemas.PAGE_COLUMNS), market, run_ts)
     return _finish(spark, market, "incremental", run_ts, n, began)
 

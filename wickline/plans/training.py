@@ -78,22 +78,27 @@ def run_training(candles: DataFrame, root: str, settings: TrainingSettings, run_
     full = models.full_chain(chain, model)
     request = split.select(*schemas.FEATURES)
     registry.save_model(full, f"{root}/models/{run_id}", registry.signature_of(request, request.limit(0)))
+    params = {**{k: v for k, v in vars(settings).items()}, **{f"best_{k}": v for k, v in best.items()}}
+    _append(registry.log_params(run_id, spark.createDataFrame([{k: str(v) for k, v in params.items()}])), f"{root}/params")
     version, promoted = _register(spark, root, settings, run_id, run_ts)
     return {"run_id": run_id, "fingerprint": mark, "best": best, "version": version, "promoted": promoted}
 
 
 def _register(spark, root: str, settings: TrainingSettings, run_id: str, run_ts: datetime) -> tuple[int, bool]:
-    """Next version in staging; to production if nothing is there or the monitored metric is better."""
+    """Next free version in staging; to production if nothing is there or the monitored metric is better."""
     known = _registry(spark, root)
     candidate = registry.next_version(known, spark.createDataFrame([(settings.name, run_id)], "name string, run_id string"))
     scores = registry.latest_metrics(spark.read.parquet(f"{root}/metrics")).where(
         F.col("name") == f"holdout_{settings.monitor}").select("run_id", "value")
     live = registry.latest_production_model(known).join(scores, "run_id")
     row = registry.promotion_decision(candidate.join(scores, "run_id"), live).first()
+    version = registry.claim_version(spark, root, settings.name, run_id, int(row["version"]),
+                                     {"experiment": settings.name, "run_id": run_id, "monitor": settings.monitor})
+    _append(registry.log_params(run_id, spark.createDataFrame([(version,)], "model_version int")), f"{root}/params")
     stage = registry.PRODUCTION if row["promote"] else registry.STAGING
-    entries = [(settings.name, int(row["version"]), run_id, stage, run_ts)]
+    entries = [(settings.name, version, run_id, stage, run_ts)]
     if row["promote"] and row["live_version"] is not None:
         old = live.first()["run_id"]
         entries.append((settings.name, int(row["live_version"]), old, registry.ARCHIVED, run_ts))
     _append(spark.createDataFrame(entries, REGISTRY_TYPES), f"{root}/registry")
-    return int(row["version"]), bool(row["promote"])
+    return version, bool(row["promote"])
