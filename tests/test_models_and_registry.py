@@ -272,6 +272,11 @@ def test_run_promotes_then_keeps_the_better(spark, sf, tmp_path):
     second = run_training(candles, root, settings, datetime(2024, 2, 2))
     assert (first["version"], first["promoted"], second["version"], second["promoted"]) == (1, True, 2, False)
     assert first["fingerprint"] == second["fingerprint"]
+    logged = {(r["run_id"], r["name"]): r["value"] for r in spark.read.parquet(f"{root}/params").collect()}
+    assert logged[(first["run_id"], "model_version")] == "1" and logged[(second["run_id"], "model_version")] == "2"
+    assert logged[(first["run_id"], "bootstrap_rounds")] == "2" and (second["run_id"], "best_alpha") in logged
+    tags = {(r["version"], r["run_id"]) for r in registry.version_tags(spark, root, settings.name).collect()}
+    assert tags == {(1, first["run_id"]), (2, second["run_id"])}
     model, signature = production_model(spark, root, settings.name)
     assert registry.check_signature(derived.klines_cleaned(spark, sf), signature) == []
     out = serve(derived.klines_cleaned(spark, sf), root, settings.name, ["symbol", "open_time"])

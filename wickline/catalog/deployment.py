@@ -38,6 +38,14 @@ def q_latest_metrics(spark, sf):
     return registry.latest_metrics(run_metrics(spark, sf))
 
 
+def q_log_params(spark, sf):
+    """What a run is fitted on, as its parameters."""
+    facts = d.table(spark, sf, "orders").agg(
+        F.count("*").alias("rows"), F.countDistinct("o_custkey").alias("groups"), F.max("o_orderkey").alias("last_key"),
+        F.min("o_orderstatus").alias("first_class"), F.max(F.when(F.col("o_orderkey") < 0, "x")).alias("unset"))
+    return registry.log_params("run-1", facts)
+
+
 def q_next_version(spark, sf):
     names = d.table(spark, sf, "customer").select(
         F.concat(F.lit("model_"), F.col("c_custkey")).alias("name"), F.col("c_custkey").alias("run_id"))
@@ -132,7 +140,7 @@ def q_serve_production(spark, sf):
 
 
 QUERIES = {
-    "latest_metrics": q_latest_metrics, "next_version": q_next_version, "current_stage": q_current_stage,
+    "latest_metrics": q_latest_metrics, "log_params": q_log_params, "next_version": q_next_version, "current_stage": q_current_stage,
     "transition_stage": q_transition_stage, "latest_production_model": q_latest_production_model,
     "promotion_decision": q_promotion_decision, "compare_metrics": q_compare_metrics,
     "linear_score": q_linear_score, "score_checks": q_score_checks, "score_checks_lines": q_score_checks_lines,
@@ -175,6 +183,10 @@ select name, round(a,6) as a, round(b,6) as b, round(a - b,6) + 0 as delta, roun
 
 ORACLES = {
     "latest_metrics": f"with {_M} select * from lm",
+    "log_params": """with f as (select count(*) as n, count(distinct o_custkey) as g, max(o_orderkey) as k, min(o_orderstatus) as c from orders)
+        select 'run-1' as run_id, 'rows' as name, cast(n as varchar) as value from f
+        union all select 'run-1', 'groups', cast(g as varchar) from f union all select 'run-1', 'last_key', cast(k as varchar) from f
+        union all select 'run-1', 'first_class', c from f union all select 'run-1', 'unset', null from f""",
     "next_version": f"""with {_R}, v as (select name, max(version) as top from r group by 1)
 select 'model_' || c_custkey::varchar as name, c_custkey as run_id, coalesce(top, 0) + 1 as version
 from customer left join v on v.name = 'model_' || c_custkey::varchar""",
