@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +158,21 @@ def test_bias_variance(spark):
     assert got["variance"] == pytest.approx(((votes - votes.mean(0)) ** 2).mean())
     with pytest.raises(ValueError):
         biasvariance.bias_variance_summary(preds, truth, "hinge")
+
+
+def test_squared_votes_are_summed_before_the_truth_is_joined(spark):
+    """One row of each test row meets the truth; repeated truths, unknown votes and infinite ones count as they did."""
+    rng = np.random.default_rng(6)
+    votes, y = rng.normal(1e6, 1.0, (8, 30)), rng.normal(1e6, 1.0, 30)
+    preds = spark.createDataFrame([(r, i, float(votes[r, i])) for r in range(8) for i in range(30)], "round int, test_id int, pred double")
+    truth = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "test_id int, y double")
+    out = biasvariance.bias_variance_summary(preds, truth, "mse")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [test_id" in plan.split("Join", 1)[1]
+    found = out.first()
+    assert found["expected_loss"] == pytest.approx(((votes - y) ** 2).mean())
+    assert found["variance"] == pytest.approx(votes.var(axis=0).mean())
+    twice = biasvariance.bias_variance_summary(preds.union(preds.selectExpr("round", "test_id", "null")), truth.union(truth), "mse").first()
+    assert twice["expected_loss"] == pytest.approx(found["expected_loss"])
+    endless = preds.union(spark.createDataFrame([(9, 0, -math.inf)], preds.schema))
+    assert biasvariance.bias_variance_summary(endless, truth, "mse").first()["expected_loss"] == math.inf

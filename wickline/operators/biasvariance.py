@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,13 @@ def bias_variance_summary(predictions: DataFrame, truth: DataFrame, loss: str =
                            (F.lit(1.0) + F.col("top.n") / F.col("n")).alias("variance"),
                            (F.col("wrong") / F.col("n")).alias("loss"))
     else:
-        known = predictions.join(truth, "test_id")
-        rows = known.groupBy("test_id").agg(
-            F.avg("pred").alias("main"), F.var_pop("pred").alias("variance"), F.first("y").alias("y"),
-            F.avg(F.pow(F.col("pred") - F.col("y"), F.lit(2.0))).alias("loss"))
+        # Summed up to one row of each test row before the truth is joined. The mean of (pred - y)^2 is the variance plus (mean - y)^2,
+        # but infinite where a prediction is, whose variance is unknown.
+        votes = predictions.groupBy("test_id").agg(
+            F.avg("pred").alias("main"), F.var_pop("pred").alias("variance"), F.max(F.abs("pred")).alias("most"))
+        off = F.pow(F.col("main") - F.col("y"), F.lit(2.0))
+        loss = F.when(F.col("y").isNotNull() & (F.col("most") == F.lit(math.inf)), F.lit(math.inf)).otherwise(F.col("variance") + off)
+        rows = votes.join(truth, "test_id").groupBy("test_id").agg(
+            F.first("main").alias("main"), F.first("variance").alias("variance"), F.first("y").alias("y"), F.avg(loss).alias("loss"))
         main = rows.select(F.pow(F.col("main") - F.col("y"), F.lit(2.0)).alias("bias"), "variance", "loss")
     return main.agg(F.avg("loss").alias("expected_loss"), F.avg("bias").alias("bias"), F.avg("variance").alias("variance"))
