@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +125,26 @@ def test_bootstrap_draws_n_of_n(spark):
     assert all(n == 500 and 270 < k < 360 for n, k in rows.values()) and len(rows) == 4
 
 
+def test_bootstrap_tasks_grow_with_the_draws(spark, monkeypatch):
+    """A task counts a bounded number of draws; they are those of the hash."""
+    monkeypatch.setattr(resampling, "DRAWS_PER_TASK", 100, raising=False)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = resampling.bootstrap_sample(spark.range(500), "id", 4).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    got, tasks = {}, {}
+    for r in rows:
+        got[r["round"], r["id"]] = r["draws"]
+        tasks[r["task"]] = tasks.get(r["task"], 0) + r["draws"]
+    assert len(tasks) >= 15 and max(tasks.values()) <= 250
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    order = sorted(range(500), key=lambda i: f"{digest(f'42:{i}')}:{i}")
+    want = Counter((k, order[int(digest(f"42:{k}:{i}")[:15], 16) % 500]) for k in range(4) for i in range(500))
+    assert got == want
+
+
 def test_poisson_weights(spark):
     w = resampling.poisson_bootstrap(spark.range(20000), "id", 3).agg(F.avg("weight"), F.var_pop("weight")).first()
     assert w[0] == pytest.approx(1.0, abs=0.03) and w[1] == pytest.approx(1.0, abs=0.05)

@@ -18,6 +18,8 @@ from wickline.session import settled
 from wickline.small import broadcast_table_if_small
 
 SEED = 1992
+#: Bootstrap draws that a task makes or counts.
+DRAWS_PER_TASK = 1_000_000
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
@@ -92,15 +94,16 @@ def shuffle_batches(df: DataFrame, key: str, batch_size: int | None, seed: int =
 def bootstrap_sample(df: DataFrame, key: str, rounds: int, seed: int = 42) -> DataFrame:
     """n draws with replacement from n rows per round, as (round, key, draws).
 
-    Draws are counted per row number before they meet the rows, so the join carries one record per drawn
-    row and round.
+    Draws are dealt out once, by row number, to as many tasks as their number calls for; there they are counted and meet the rows.
     """
     n = df.count()
     numbered = hash_ranked(df.select(key), shuffle_key(seed, F.col(key)), name="row")
-    draws = df.sparkSession.range(n * rounds).select(
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n * rounds // DRAWS_PER_TASK))
+    draws = spark.range(0, n * rounds, 1, tasks).select(
         F.floor(F.col("id") / F.lit(n)).cast("int").alias("round"), (F.col("id") % n).alias("draw"))
     digest = keyed_md5(seed, F.col("round"), F.col("draw"))
-    picked = draws.select("round", (leading_int(digest, 15) % n + 1).alias("row"))
+    picked = draws.select("round", (leading_int(digest, 15) % n + 1).alias("row")).repartition(tasks, "row")
     counted = picked.groupBy("round", "row").agg(F.count("*").alias("draws"))
     return counted.join(numbered, "row").select("round", key, "draws")
 
