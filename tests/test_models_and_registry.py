@@ -11,10 +11,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wickline import schemas
+from wickline.catalog.derived import klines_stamped
 from wickline.functions.pvalues import normal_p, student_p
 from wickline.operators import features, metrics, models, monitoring, neighbours, ranking, registry, resampling, scoring
 from wickline.plans.serving import production_model, serve
-from wickline.plans.training import REGISTRY_TYPES, TrainingSettings, run_training
+from wickline.plans.training import REGISTRY_TYPES, TrainingSettings, extract_training_rows, run_training
+from wickline.session import settled
 
 LABEL = schemas.TARGET
 
@@ -331,3 +333,18 @@ def test_psi_of_the_same_data_is_zero(spark):
     assert monitoring.psi(df, df, "v", F.col("w")).first()["psi"] == pytest.approx(0, abs=1e-12)
     moved = df.withColumn("v", F.col("v") + 60)
     assert monitoring.psi(moved, df, "v", F.col("w")).first()["psi"] > 1
+
+
+def test_training_rows_are_built_once(spark, sf):
+    """The checks of the training rows read what was written; the candles below are built a single time."""
+    candles = settled(klines_stamped(spark, sf), "candles")
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    out = extract_training_rows(candles.mapInArrow(counted, candles.schema), TrainingSettings(rows=50))
+    assert out.count() == 50
+    assert built.value == candles.count()

@@ -38,7 +38,8 @@ def plain_features(df: DataFrame, features: str = "features") -> Column:
 
 def bootstrap_weights(rounds: int, key: Column, seed: int = 42) -> Column:
     """One Poisson(1) weight for each round, as ``poisson_bootstrap`` draws them, in an array."""
-    return F.transform(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda r: poisson_weight(hashed_uniform(seed, r, key)).cast("tinyint"))
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda r: hashed_uniform(seed, r, key))
+    return F.transform(drawn, lambda u: poisson_weight(u).cast("tinyint"))  # apart, so that each hash is worked out once
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:

@@ -45,7 +45,8 @@ def _append(df: DataFrame, path: str) -> None:
 
 def extract_training_rows(candles: DataFrame, settings: TrainingSettings) -> DataFrame:
     """The newest candles since a date, checked, cast and labelled."""
-    recent = ranking.latest_n(casting.filter_since(candles, settings.since), settings.rows, keys=["symbol"])
+    # Written once: the checks and the later stages would each build the candles again.
+    recent = settled(ranking.latest_n(casting.filter_since(candles, settings.since), settings.rows, keys=["symbol"]), "recent-rows")
     quality.ensure_valid(quality.validate_frame(recent, schemas.RAW))
     cleaned = casting.with_price_increase(casting.cast_columns(recent, casting.CLEANING_TYPES))
     quality.ensure_valid(quality.validate_frame(cleaned, schemas.CLEANED))
