@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,19 +239,23 @@ class Aligner:
                 j += 1
                 end_b += len(self.bytes_b[ids_b[j]])
 
-    def numbered(self, groups: str) -> np.ndarray:
-        """A number for each group of a row; ``pairs`` has the links of each number."""
-        if not groups:
-            return np.empty(0, np.int64)
-        names, numbers = groups.split(";"), self.numbers
-        try:
-            return np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
-        except KeyError:
-            for name in set(names) - numbers.keys():
-                numbers[name] = len(self.pairs)
+    def numbered(self, groups: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each group of all rows, and where each row's begin and end; ``pairs`` has the links of each number.
+
+        Arrow cuts the texts and finds the different groups of a batch; only these are looked up.
+        """
+        lists = pc.split_pattern(pc.if_else(pc.equal(groups, ""), None, groups), ";")
+        edges = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)], dtype=np.int64)
+        coded = lists.flatten().dictionary_encode()
+        numbers, found = self.numbers, []
+        for name in coded.dictionary.to_pylist():
+            number = numbers.get(name)
+            if number is None:
+                number = numbers[name] = len(self.pairs)
                 self.pairs.append(self.links(name))
                 self.characters += len(name)
-        return np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+            found.append(number)
+        return np.array(found, dtype=np.int64)[coded.indices.to_numpy(zero_copy_only=False)], edges
 
     def pair_counts(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of ids, packed, and how many links of these groups hold them."""
@@ -330,14 +335,14 @@ def _count(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
             [pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["a", "b", "n"])
 
     for batch in batches:
-        for groups in batch.column(0).to_pylist():
-            seen.append(aligner.numbered(groups))
-            held += len(seen[-1])
-            if aligner.full or held > COUNTED_AT_ONCE:
-                yield summed()
-                seen, held = [], 0
-                if aligner.full:
-                    aligner.clear()
+        numbers, _ = aligner.numbered(batch.column(0))
+        seen.append(numbers)
+        held += len(numbers)
+        if aligner.full or held > COUNTED_AT_ONCE:
+            yield summed()
+            seen, held = [], 0
+            if aligner.full:
+                aligner.clear()
     yield summed()
 
 
@@ -354,18 +359,17 @@ def _weigh(batches: Iterator[pa.RecordBatch], shared, names: list[str], counts)
     # Of each known group, its sums.
     worth = np.empty((0, 2), dtype=np.int64)
     for batch in batches:
-        out = []
-        for groups in batch.column("groups").to_pylist():
-            if aligner.full:
-                aligner.clear()
-                worth = worth[:0]
-            numbers = aligner.numbered(groups)
-            if fresh := aligner.pairs[len(worth):]:
-                at = np.searchsorted(keys, np.concatenate(fresh))
-                edges = np.cumsum([0, *map(len, fresh[:-1])])
-                worth = np.r_[worth, np.stack([np.add.reduceat(x[at], edges) for x in (best, n)], axis=1)]
-            out.append(worth[numbers].sum(axis=0))
-        sums = np.array(out, dtype=np.int64).reshape(-1, 2)
+        if aligner.full:
+            aligner.clear()
+            worth = worth[:0]
+        numbers, edges = aligner.numbered(batch.column("groups"))
+        if fresh := aligner.pairs[len(worth):]:
+            at = np.searchsorted(keys, np.concatenate(fresh))
+            first = np.cumsum([0, *map(len, fresh[:-1])])
+            worth = np.r_[worth, np.stack([np.add.reduceat(x[at], first) for x in (best, n)], axis=1)]
+        upto = np.zeros((len(numbers) + 1, 2), dtype=np.int64)
+        np.cumsum(worth[numbers], axis=0, out=upto[1:])
+        sums = upto[edges[1:]] - upto[edges[:-1]]
         yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(sums[:, 0].copy()), pa.array(sums[:, 1].copy())],
                                          names=[*names, "n_best", "count_sum"])
 
@@ -374,11 +378,10 @@ def _own_pairs(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
     """Each row's distinct pairs of ids and how often it links them."""
     aligner = _aligner(shared)
     for batch in batches:
-        out = []
-        for groups in batch.column("groups").to_pylist():
-            if aligner.full:
-                aligner.clear()
-            out.append(aligner.pair_counts(aligner.numbered(groups)))
+        if aligner.full:
+            aligner.clear()
+        numbers, edges = aligner.numbered(batch.column("groups"))
+        out = [aligner.pair_counts(numbers[i:j]) for i, j in zip(edges[:-1], edges[1:])]
         lists = [pa.array([x[k] for x in out], pa.list_(pa.int64())) for k in range(2)]
         yield pa.RecordBatch.from_arrays([batch.column("~row"), *lists], names=["~row", "pairs", "times"])
 
