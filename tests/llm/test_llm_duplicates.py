@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wickline.llm import near_join, suffix_dedup
+from wickline.llm import near_join, passages, queries, suffix_dedup
 from wickline.llm.components import components
 from wickline.llm.decontaminate import fingerprint, leaks
 from wickline.llm.near_join import chunk_keys, near_components
@@ -238,6 +238,34 @@ def test_pipeline_removes_passages_of_more_than_fifty_words(spark):
     assert all(passages[50] in got[i] for i in range(3)) and not any(p in got[i] for i in got for n, p in passages.items() if n > 50 and got[i])
 
 
+def test_op4_text_is_without_short_passages_and_its_digests_follow_the_strings(spark, tmp_path):
+    rng = random.Random(6)
+    filler = iter(range(10 ** 6))
+    fresh = lambda n: " ".join(f"z{next(filler)}" for _ in range(n))
+    passages = {n: " ".join(rng.choice(["a", "of", "the", "tree", "river", "ü"]) for _ in range(n)) for n in (50, 51, 60, 200)}
+    texts = [f"{fresh(30)} {p} {fresh(20)}" for p in passages.values() for _ in range(3)] + [passages[60], None, "", f"é{'x ' * 90}"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    raw = [(t or "").encode() for t in texts]
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for _, r in sorted(got.items())] == brute_repeats(raw, 400)
+    want = brute_passages(raw, 51)
+    long = range(9, 12)  # byte strings of 400 as well, which take equal bytes around them along
+    assert all((got[i].text or "").encode() == want[i] for i in range(len(texts)) if i not in long) and got[len(texts) - 3].text is None
+    assert all(got[i].n_removed >= len(passages[200].encode()) and passages[200] not in got[i].text for i in long)
+    assert got[3].n_removed == 0 and passages[51] not in got[3].text and passages[50] in got[0].text
+
+
+def test_equal_contexts_are_counted_once_and_rows_that_repeat_get_no_more_spans(spark):
+    rng = random.Random(8)
+    shared = text_of(rng, 300)
+    rows = [(i, i, shared) for i in range(50)] + [(99, 99, shared + " end")] * 40
+    texts = spark.createDataFrame(rows, "row_a long, row_b long, text string")
+    spans = passages.repeated_passages(texts, 51).collect()
+    assert all({b for r in spans if r.row_a == i for b in range(r.begin, r.end)} == set(range(len(shared))) for i in range(50))
+    docs = spark.createDataFrame([(7, shared)] * 40, "doc_id long, text string")
+    assert {r.text for r in remove_repeats(docs, 400, keep=True, words=51).collect()} == {""}
+
+
 def brute_leaks(docs, items, least):
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}

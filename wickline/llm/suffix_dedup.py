@@ -167,30 +167,39 @@ def _sort_strings(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
             first = last
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [tuple(x) for x in out]
+def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], np.maximum.accumulate(end[order])
+    new = np.r_[True, begin[1:] > end[:-1]][:len(begin)]
+    return list(zip(begin[new].tolist(), end[np.r_[new[1:], True][:len(end)]].tolist()))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
+def _without(text: bytes, cuts: list[tuple[int, int]]) -> bytes:
+    at, parts = 0, []
+    for a, b in cuts:
+        parts.append(text[at:a])
+        at = b
+    parts.append(text[at:])
+    return b"".join(parts)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool, clean: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, sizes, removed, runs = [], [], [], []
-        spans = batch.column("spans").to_pylist()
-        for text, found in zip(texts_of(batch.column("text")), spans):
-            cuts = merged([(s["begin"], s["end"]) for s in found or ()])
+        kept, sizes, removed, runs, cleaned = [], [], [], [], []
+        spans = batch.column("spans")
+        bounds = np.r_[0, np.cumsum(spans.value_lengths().fill_null(0).to_numpy())]
+        begin, end, passage = (x.to_numpy(zero_copy_only=False) for x in spans.flatten().flatten())
+        for i, text in enumerate(texts_of(batch.column("text"))):
+            own = slice(bounds[i], bounds[i + 1])
+            first, last, apart = begin[own], end[own], passage[own]
+            # Passages count towards the columns of the strings only where nothing else has them.
+            cuts = merged(first[~apart], last[~apart]) if clean else merged(first, last)
             if whole_characters:
                 cuts = [c for c in (_inside(text, *x) for x in cuts) if c[0] < c[1]]
-            at, parts = 0, []
-            for a, b in cuts:
-                parts.append(text[at:a])
-                at = b
-            parts.append(text[at:])
-            kept.append(b"".join(parts))
+            kept.append(_without(text, cuts))
+            if clean:
+                every = (_inside(text, *x) for x in merged(first, last))
+                cleaned.append(_without(text, [c for c in every if c[0] < c[1]]))
             sizes.append(len(text))
             removed.append(len(text) - len(kept[-1]))
             runs.append(len(cuts))
@@ -199,6 +208,8 @@ def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[
         made = {"kept_bytes": pa.array(kept, pa.binary()), "n_bytes": pa.array(sizes, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(runs, pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())}
+        if clean:
+            made["clean"] = pa.array(cleaned, pa.binary())
         yield pa.RecordBatch.from_arrays([*columns, *made.values()], names=[*names, *made])
 
 
@@ -211,7 +222,8 @@ def _inside(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False, keep: bool = False, words: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = False, keep: bool = False, words: int | None = None,
+                   clean_words: int | None = None) -> DataFrame:
     """``doc_id`` and ``text`` of each row with kept_bytes, n_bytes, n_removed, n_spans and kept_sha256.
 
     A byte is removed when a string of ``width`` bytes (more than 100) that covers it also begins at another
@@ -220,8 +232,11 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     columns are left out; an empty table gives an empty result. With ``whole_characters`` a character
     stays unless all its bytes are to go, so what is kept is UTF-8. With ``keep`` the result is ``docs``, all its
     columns, with what is kept as ``text`` and its length as ``n_chars`` where there is such a column. With ``words``
-    the bytes of repeated passages of so many words or more are removed as well, however few bytes they have.
+    the bytes of repeated passages of so many words or more are removed as well, however few bytes they have. With
+    ``clean_words`` the other columns stay as they are, and ``clean`` has the bytes that such a removal, of whole characters, leaves.
     """
+    if clean_words is not None and (keep or words is not None):
+        raise ValueError("clean_words is a column beside the strings' own: it takes neither keep nor words")
     if not ANCHOR < width < 2000:
         raise ValueError(f"width must lie between {ANCHOR} and 2000")
     spark = docs.sparkSession
@@ -258,15 +273,17 @@ def remove_repeats(docs: DataFrame, width: int = 400, whole_characters: bool = F
     repeats = copies.union(near)
     if counted:
         repeats = repeats.union(_window_counts(cut.join(common, "gram", "left_semi"), width))
-    if words is not None:
-        repeats = repeats.union(repeated_passages(texts, words))
-    spans = repeats.groupBy("row_a", "row_b").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    repeats = repeats.withColumn("passage", F.lit(False))
+    if words is not None or clean_words is not None:
+        repeats = repeats.union(repeated_passages(texts, words or clean_words).withColumn("passage", F.lit(True)))
+    # As a set, as rows that are the same in all have each other's spans.
+    spans = repeats.groupBy("row_a", "row_b").agg(F.collect_set(F.struct("begin", "end", "passage")).alias("spans"))
     out = texts.join(spans, ["row_a", "row_b"], "left").mapInArrow(
-        partial(_cut, whole_characters=whole_characters),
+        partial(_cut, whole_characters=whole_characters, clean=clean_words is not None),
         f"rest {texts.schema['rest'].dataType.simpleString()}, text string, kept_bytes binary, n_bytes long, n_removed long, "
-        "n_spans long, kept_sha256 string")
+        "n_spans long, kept_sha256 string" + (", clean binary" if clean_words is not None else ""))
     if not keep:
-        return out.select("rest.doc_id", "text", "kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        return out.select("rest.doc_id", *out.columns[1:])
     new = {c: F.col("rest").getField(c) for c in docs.columns if c != "text"}
     new["text"] = F.when(F.col("text").isNotNull(), F.decode("kept_bytes", "UTF-8"))
     if "n_chars" in new:
