@@ -49,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents with their piece ids and the text that these decode to."""
     model = pieces.share_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
-    return pieces.decode(pieces.encode(docs, model), model).drop("text")
+    return pieces.recode(docs, model).drop("text")
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup),

@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -266,6 +268,19 @@ def test_equal_contexts_are_counted_once_and_rows_that_repeat_get_no_more_spans(
     assert {r.text for r in remove_repeats(docs, 400, keep=True, words=51).collect()} == {""}
 
 
+def test_workers_hash_a_batch_in_little_memory():
+    rng = random.Random(9)
+    texts = [text_of(rng, 2500).encode().decode() for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(range(200)), pa.array(texts)], names=["a", "b", "text"])
+    for work in (lambda: sum(b.num_rows for b in passages._contexts(iter([batch]), 51)),
+                 lambda: sum(b.num_rows for b in suffix_dedup._scan(iter([batch]), 400))):
+        tracemalloc.start()
+        assert work() > 0
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6
+
+
 def brute_leaks(docs, items, least):
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}

@@ -7,12 +7,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wickline.llm import alignment, queries, rank_bpe, whitening
+from wickline.llm import alignment, pieces, queries, rank_bpe, whitening
 
 FOLDER = queries.TOKENIZERS
 WORDS, BYTES, PIECES = f"{FOLDER}/word_bpe_49k.json", f"{FOLDER}/byte_bpe_50k.json", f"{FOLDER}/piece_bpe_32k.model"
@@ -197,3 +198,13 @@ def test_whitening_of_few_and_equal_vectors(spark):
 def test_whole_numbers_of_any_size():
     x = np.array([[1 << 60, 5]])
     assert whitening.numerators(x, 1 << 10, np.array([3, 4])).tolist() == [[(1 << 70) - 3, 5 * 1024 - 4]]
+
+
+def test_recode_equals_encode_then_decode_and_leaves_no_units_behind(spark):
+    docs = spark.createDataFrame([(1, "a tree ü\n x"), (2, None), (3, ""), (3, "a tree ü\n x")], "doc_id long, text string")
+    model = pieces.share_model(spark, f"{queries.TOKENIZERS}/piece_bpe_32k.model")
+    both = [pieces.recode(docs, model), pieces.decode(pieces.encode(docs, model), model)]
+    assert both[0].columns == both[1].columns and sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words here"])], names=["text"])
+    assert sum(b.num_rows for b in pieces._recode(iter([batch]), model, ["text"])) == 1
+    assert not pieces._transducer(model).known

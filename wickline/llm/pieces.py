@@ -158,6 +158,14 @@ def _decode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iter
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
 
 
+def _recode(batches: Iterator[pa.RecordBatch], shared, names: list[str]) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from _decode(_encode(batches, shared, names), shared, [*names, "ids"])
+    finally:
+        # The worker lives on and serves other stages, and the units take over 100 MB when they are many.
+        _transducer(shared).known.clear()
+
+
 def encode(docs: DataFrame, shared) -> DataFrame:
     """Every row of ``docs`` with ``ids`` (array<int>; replaced if there) of its whole text; null and empty texts have none.
 
@@ -169,6 +177,14 @@ def encode(docs: DataFrame, shared) -> DataFrame:
     return docs.mapInArrow(partial(_encode, shared=shared, names=docs.columns), f"{kept}, ids array<int>")
 
 
+def recode(docs: DataFrame, shared) -> DataFrame:
+    """``decode(encode(docs))`` in one worker a task, which keeps no units after it: for jobs with other stages."""
+    small_batches(docs.sparkSession)
+    docs = docs.drop("ids", "decoded")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(partial(_recode, shared=shared, names=docs.columns), f"{kept}, ids array<int>, decoded string")
+
+
 def decode(rows: DataFrame, shared) -> DataFrame:
     """Every row with ``decoded`` (replaced if there): the text of its ``ids``, null for null ids."""
     small_batches(rows.sparkSession)
